@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.unicode import lines, nfkc, rstrip, strip
+from paperloom.functions.unicode import let, lines, nfkc, rstrip, strip
 
 #: Pages on which a first or last line must stand to be taken for a header or footer.
 REPEATED_ON = 3
@@ -25,16 +25,21 @@ def drop_headers_footers(text: Column) -> Column:
     A line counts once as first and once as last. Short lines and numbers stay. Blank lines go only
     if any line is dropped; then pages are joined by a blank line. Texts of fewer pages stay.
     """
-    pages = F.transform(F.split(text, "\f", -1), lambda p: F.filter(F.transform(lines(p), strip), lambda x: x != ""))
-    filled = F.filter(pages, lambda p: F.size(p) > 0)
-    ends = F.concat(F.transform(filled, lambda p: F.element_at(p, 1)), F.transform(filled, lambda p: F.element_at(p, -1)))
-    repeated = F.filter(
-        F.array_distinct(ends),
-        lambda x: (F.length(x) > 5) & ~x.rlike(r"(?U)\A\d+\z") & (F.size(F.filter(ends, lambda y: y == x)) >= REPEATED_ON),
-    )
-    kept = F.array_join(F.transform(pages, lambda p: F.array_join(F.filter(p, lambda x: ~F.array_contains(repeated, x)), "\n")), "\n\n")
+    full = lambda p: F.filter(F.transform(lines(p), strip), lambda x: x != "")
+
+    def cleaned(pages):
+        filled = F.filter(pages, lambda p: F.size(p) > 0)
+        ends = F.concat(F.transform(filled, lambda p: F.element_at(p, 1)), F.transform(filled, lambda p: F.element_at(p, -1)))
+        often = lambda found: F.filter(
+            F.array_distinct(found),
+            lambda x: (F.length(x) > 5) & ~x.rlike(r"(?U)\A\d+\z") & (F.size(F.filter(found, lambda y: y == x)) >= REPEATED_ON),
+        )
+        kept = lambda gone: F.array_join(F.transform(pages, lambda p: F.array_join(F.filter(p, lambda x: ~F.array_contains(gone, x)), "\n")), "\n\n")
+        return let(let(ends, often), lambda gone: F.when(F.size(gone) > 0, kept(gone)))
+
     several = F.length(text) - F.length(F.replace(text, F.lit("\f"), F.lit(""))) >= 2
-    return F.when(several & (F.size(repeated) > 0), kept).otherwise(text)
+    found = F.when(several, let(F.transform(F.split(text, "\f", -1), full), cleaned))
+    return F.coalesce(found, text)
 
 
 def drop_page_numbers(text: Column) -> Column:
@@ -44,14 +49,16 @@ def drop_page_numbers(text: Column) -> Column:
 def tidy_space(text: Column) -> Column:
     text = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     text = F.regexp_replace(F.regexp_replace(text, r"[ \t]+", " "), r"\n{3,}", "\n\n")
-    return strip(F.array_join(F.transform(lines(text), rstrip), "\n"))
+    return let(text, lambda t: strip(F.array_join(F.transform(lines(t), rstrip), "\n")))
 
 
-def clean_text(text: Column) -> Column:
-    """All repairs in their order; null becomes the empty string."""
-    for repair in (nfkc, join_divided_words, join_divided_urls, drop_headers_footers, drop_page_numbers, tidy_space):
-        text = repair(text)
-    return text
+def clean_texts(df: DataFrame, column: str = "text", urls: bool = False) -> DataFrame:
+    """All repairs of a column in their order, and addresses wrapped with ``urls``; null becomes the
+    empty string. Each repair is a step of its own, so none is computed more than once."""
+    steps = (nfkc, join_divided_words, join_divided_urls, drop_headers_footers, drop_page_numbers, tidy_space)
+    for repair in (*steps, wrap_urls) if urls else steps:
+        df = df.withColumn(column, repair(F.col(column)))
+    return df
 
 
 def wrap_urls(text: Column) -> Column:
@@ -59,10 +66,6 @@ def wrap_urls(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)(?<![<(])\b(?=https?://[^\s<>)])(https?://[^\s<>)]*?)([.,;:\]]*)(?=[\s<>)]|\z)", "<$1>$2")
 
 
-def clean_markdown(text: Column) -> Column:
-    return wrap_urls(clean_text(text))
-
-
 def escape_headings(text: Column) -> Column:
     """A backslash before number signs that would make a line a heading."""
     return F.array_join(F.transform(lines(text), lambda x: F.regexp_replace(x, r"(?U)\A(\s{0,3})(#{1,6})(?=\s)", r"$1\\\\$2")), "\n")
@@ -70,5 +73,6 @@ def escape_headings(text: Column) -> Column:
 
 def page_markdown(page_no: Column, text: Column) -> Column:
     """The Markdown of one page, or null if it has no text."""
-    plain = wrap_urls(escape_headings(strip(F.coalesce(text, F.lit("")))))
-    return F.when(plain != "", F.concat(F.lit("<!-- page "), page_no.cast("string"), F.lit(" -->\n\n"), plain))
+    plain = wrap_urls(let(strip(F.coalesce(text, F.lit(""))), escape_headings))
+    head = F.concat(F.lit("<!-- page "), page_no.cast("string"), F.lit(" -->\n\n"))
+    return let(plain, lambda x: F.when(x != "", F.concat(head, x)))

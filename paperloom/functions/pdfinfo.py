@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from paperloom.functions.checks import JOURNAL_WORDS, contains_any
-from paperloom.functions.unicode import collapse, lines, strip
+from paperloom.functions.unicode import collapse, let, lines, strip
 
 #: Lines that are searched for a source and for a title, lines and characters of a title, and
 #: characters of text that are searched for a year.
@@ -57,8 +57,7 @@ def find_year(info: Column, text: Column) -> Column:
 def clean_title(title: Column) -> Column:
     title = F.regexp_replace(_or_blank(title), r"(?U)(?<=\w)_\s+(?=[A-Z])", ": ")
     title = collapse(F.regexp_replace(title, r"(?U)(?<=\w)_+(?=\w)", " "))
-    bad = (F.length(title) < 8) | contains_any(F.lower(title), BAD_TITLE)
-    return F.when(bad, "").otherwise(title)
+    return let(title, lambda t: F.when((F.length(t) < 8) | contains_any(F.lower(t), BAD_TITLE), "").otherwise(t))
 
 
 def _not_title(line: Column) -> Column:
@@ -95,7 +94,7 @@ def title_of_text(text: Column) -> Column:
         last = F.array_max(F.transform(kept, lambda x, i: F.when(~ends_title(x), i + 1).otherwise(0)))
         return F.array_join(F.slice(kept, 1, F.coalesce(last, F.lit(0))), " ")
 
-    return clean_title(F.aggregate(tried, start, step, finish))
+    return let(F.aggregate(tried, start, step, finish), clean_title)
 
 
 def useful_source(source: Column, title: Column, surnames: tuple[str, ...] = ()) -> Column:
@@ -128,22 +127,22 @@ def find_source(info: Column, text: Column, title: Column, surnames: tuple[str,
     """The subject up to a comma, else the creator, else the first line that names a journal."""
     subject = strip(F.split(_or_blank(F.try_element_at(info, F.lit("Subject"))), ",").getItem(0))
     creator = strip(_or_blank(F.try_element_at(info, F.lit("Creator"))))
+    useful = lambda x: let(x, lambda s: F.when(useful_source(s, title, surnames), s))
 
     def candidate(line):
         line = collapse(line)
         policy = F.regexp_extract(line, r"(J\s+Consum\s+Policy\s+\([0-9]{4}\).*)", 1)
-        return F.when(policy != "", policy).otherwise(line)
+        return F.coalesce(F.nullif(policy, F.lit("")), line)
 
     near = F.transform(F.slice(lines(_or_blank(text)), 1, SOURCE_LINES), candidate)
     fit = F.filter(near, lambda x: useful_source(x, title, surnames) & contains_any(F.lower(x), TEXT_SOURCE_WORDS) & ~F.startswith(F.lower(x), F.lit("contents lists")))
-    return F.when(useful_source(subject, title, surnames), subject).when(useful_source(creator, title, surnames), creator).otherwise(_first(fit))
+    return F.coalesce(useful(subject), useful(creator), _first(fit))
 
 
 def paper_metadata(info: Column, text: Column, surnames: tuple[str, ...] = ()) -> Column:
     """struct(title, year, doi, source) from a map of information fields and the first pages' text."""
-    named = clean_title(F.try_element_at(info, F.lit("Title")))
-    title = F.when(named != "", named).otherwise(title_of_text(text))
     searched = F.concat_ws("\n", F.array_join(F.map_values(info), "\n", ""), _or_blank(text))
-    return F.struct(
-        title.alias("title"), find_year(info, text).alias("year"), find_doi(searched).alias("doi"), find_source(info, text, title, surnames).alias("source")
-    )
+    title = let(clean_title(F.try_element_at(info, F.lit("Title"))), lambda t: F.when(t != "", t).otherwise(title_of_text(text)))
+    return let(title, lambda t: F.struct(
+        t.alias("title"), find_year(info, text).alias("year"), find_doi(searched).alias("doi"), find_source(info, text, t, surnames).alias("source")
+    ))

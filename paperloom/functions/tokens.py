@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paperloom.functions.unicode import SPACE, collapse, rstrip
+from paperloom.functions.unicode import SPACE, collapse, let, rstrip
 
 TERM = r"[a-z][a-z\-]{3,}"
 
@@ -32,8 +32,8 @@ def estimate_tokens(text: Column) -> Column:
 
 def excerpt(text: Column, most: int) -> Column:
     """The text in one line, cut to ``most`` characters with a mark of the cut."""
-    line = collapse(F.coalesce(text, F.lit("")))
-    return F.when(F.length(line) <= most, line).otherwise(F.concat(rstrip(F.left(line, F.lit(most - 15))), F.lit(" [truncated]")))
+    cut = lambda line: F.concat(rstrip(F.left(line, F.lit(most - 15))), F.lit(" [truncated]"))
+    return let(collapse(F.coalesce(text, F.lit(""))), lambda line: F.when(F.length(line) <= most, line).otherwise(cut(line)))
 
 
 def terms(text: Column) -> Column:

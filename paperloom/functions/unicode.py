@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: The characters that count as white space in the text rules, for use inside brackets.
 SPACE = r"\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -32,19 +34,24 @@ def blank_to(value: Column, other: str) -> Column:
     return F.coalesce(F.nullif(value.cast("string"), F.lit("")), F.lit(other))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def lines(text: Column) -> Column:
     """The lines of a text; a line end at the very end starts no further line, an empty text has none."""
-    found = F.split(text, LINE_END, -1)
-    return F.when(F.element_at(found, -1) == "", F.slice(found, 1, F.size(found) - 1)).otherwise(found)
+    found = F.split(F.regexp_replace(text, rf"(?:{LINE_END})\z", ""), LINE_END, -1)
+    return F.when(F.length(text) == 0, F.array().cast("array<string>")).otherwise(found)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Unicode NFKC; null becomes the empty string."""
     return text.fillna("").map(lambda x: x if x.isascii() else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def ascii_letters(text: pd.Series) -> pd.Series:
     """Compatibility decomposition without everything outside ASCII."""
     return text.fillna("").map(lambda x: x if x.isascii() else unicodedata.normalize("NFKD", x).encode("ascii", "ignore").decode())

@@ -5,13 +5,14 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from paperloom.functions.checks import HUGE_FROM, likely_scanned, suspicious_source
 from paperloom.functions.names import year_from_path
 from paperloom.functions.unicode import strip
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _rounded(value: pd.Series, digits: pd.Series) -> pd.Series:
     """Rounded as the binary number stands, halves to the even digit."""
     return pd.Series([round(float(v), int(d)) for v, d in zip(value, digits)], dtype="float64")

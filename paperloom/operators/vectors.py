@@ -10,13 +10,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 #: Rows of a block of vectors, on either side of a search.
 BLOCK = 2048
 DIMENSIONS = 256
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(ArrayType(FloatType()))
 def hashed_embedding(text: pd.Series) -> pd.Series:
     """A vector of word and letter-triple counts by their hash, of length 1; zeros for no words.
 

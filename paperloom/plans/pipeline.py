@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from paperloom.config import Config
 from paperloom.functions.checks import local_url
-from paperloom.functions.clean import clean_markdown
+from paperloom.functions.clean import clean_texts
 from paperloom.functions.names import examiner_slug, paper_id, paper_slug, parse_year
 from paperloom.functions.pdfinfo import paper_metadata
 from paperloom.operators import conversion, manifest, preflight, reports, sections, vectors
@@ -136,8 +136,7 @@ class Corpus:
         known = known.withColumn("paper_id", paper_id(F.col("examiner"), F.col("year"), F.col("title"), F.col("filename")))
         known = staged(known, "known")
         results, failed = conversion.convert_with_fallbacks(known.select("filename", "path").distinct(), self.converters, config.primary)
-        text = clean_markdown(F.col("markdown"))
-        rows = known.join(results, "filename").withColumn("clean", text)
+        rows = clean_texts(known.join(results, "filename").withColumn("clean", F.col("markdown")), "clean", urls=True)
         if alive:
             rows = rows.join(extractors.tei_documents(known.select("filename", "path").distinct(), config.grobid_url), "filename", "left")
         else:
@@ -175,7 +174,7 @@ class Corpus:
         papers = self._papers()
         if papers.isEmpty():
             return Result(["No processed JSON papers found yet. Add PDFs, run process, then run chunk again."])
-        papers = reports.current(papers.withColumn("file_id", F.col("file")), self._current_ids().withColumnRenamed("paper_id", "file_id"), "file_id")
+        papers = reports.current(papers, self._current_ids())
         own = papers.select("file", F.posexplode(F.coalesce("sections", F.array())).alias("section_no", "s")).select("file", "section_no", "s.heading", "s.level", "s.page_start", "s.page_end", "s.text")
         cut = sections.chunks(own, "file", self.config.chunking.target_tokens, self.config.chunking.overlap_tokens)
         m = {c: F.coalesce(F.col(f"metadata.{c}"), F.lit("")) for c in ("examiner", "title", "doi", "filename", "sha256")}

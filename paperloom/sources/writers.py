@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,13 @@ def front_matter(fields: dict[str, Column], body: Column) -> Column:
     return F.concat(F.lit("---\n"), F.concat_ws("\n", *lines), F.lit("\n---\n\n"), F.regexp_replace(body, r"\A\s+|\s+\z", ""), F.lit("\n"))
 
 
+def file_name(name: str, suffix: str) -> str:
+    """The name with its suffix; one too long for a file system is cut and told apart by its hash."""
+    if len(name.encode()) + len(suffix) <= 200:
+        return name + suffix
+    return name.encode()[:150].decode("utf-8", "ignore") + "-" + hashlib.sha256(name.encode()).hexdigest()[:16] + suffix
+
+
 def write_each(rows: DataFrame, folder: str, name: str, content: str, suffix: str) -> None:
     """One file for each row, written by the tasks: ``content`` to ``folder/name + suffix``."""
     make_folder(rows.sparkSession, folder)
@@ -71,7 +80,7 @@ def write_each(rows: DataFrame, folder: str, name: str, content: str, suffix: st
     def write(part):
         for row in part:
             if row[1] is not None:
-                with open(f"{plain}/{row[0]}{suffix}", "w", encoding="utf-8", newline="\n") as file:
+                with open(f"{plain}/{file_name(row[0], suffix)}", "w", encoding="utf-8", newline="\n") as file:
                     file.write(row[1])
 
     rows.select(name, content).foreachPartition(write)
