@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,6 +19,15 @@ BLOCK = 2048
 DIMENSIONS = 256
 
 
+@lru_cache(50_000)
+def _word_vector(word: str) -> np.ndarray:
+    vector = np.zeros(DIMENSIONS, np.float32)
+    for part in (word, *(f"#{word}#"[i : i + 3] for i in range(len(word)))):
+        code = zlib.crc32(part.encode())
+        vector[code % DIMENSIONS] += 1 if code & 0x80000000 else -1
+    return vector
+
+
 @F.pandas_udf(ArrayType(FloatType()))
 def hashed_embedding(text: pd.Series) -> pd.Series:
     """A vector of word and letter-triple counts by their hash, of length 1; zeros for no words.
@@ -26,10 +37,8 @@ def hashed_embedding(text: pd.Series) -> pd.Series:
     out = []
     for value in text.fillna(""):
         vector = np.zeros(DIMENSIONS, np.float32)
-        for word in re.findall(r"\w+", value.lower()):
-            for part in (word, *(f"#{word}#"[i : i + 3] for i in range(len(word)))):
-                code = zlib.crc32(part.encode())
-                vector[code % DIMENSIONS] += 1 if code & 0x80000000 else -1
+        for word, n in Counter(re.findall(r"\w+", value.lower())).items():
+            vector += n * _word_vector(word)
         norm = np.linalg.norm(vector)
         out.append((vector / norm if norm else vector).tolist())
     return pd.Series(out)
