@@ -72,7 +72,7 @@ def title_of_file(x: str) -> str:
 
 
 def slug(x: str, fallback: str) -> str:
-    return f"coalesce(nullif(trim(regexp_replace(lower(regexp_replace(strip_accents({x}), '[^\\x00-\\x7f]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-'), ''), '{fallback}')"
+    return f"coalesce(nullif(trim(regexp_replace(lower(regexp_replace(strip_accents(replace({x}, chr(160), ' ')), '[^\\x00-\\x7f]', '', 'g')), '[^a-z0-9]+', '-', 'g'), '-'), ''), '{fallback}')"
 
 
 def paper_id(table: str = "") -> str:
