@@ -68,7 +68,7 @@ def wrap_urls(text: Column) -> Column:
 
 def escape_headings(text: Column) -> Column:
     """A backslash before number signs that would make a line a heading."""
-    return F.array_join(F.transform(lines(text), lambda x: F.regexp_replace(x, r"(?U)\A(\s{0,3})(#{1,6})(?=\s)", r"$1\\\\$2")), "\n")
+    return F.array_join(F.transform(lines(text), lambda x: F.regexp_replace(x, r"(?U)\A(\s{0,3})(#{1,6})(?=\s)", r"$1\\$2")), "\n")
 
 
 def page_markdown(page_no: Column, text: Column) -> Column:

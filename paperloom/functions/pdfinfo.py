@@ -37,9 +37,9 @@ def _or_blank(value: Column) -> Column:
 
 
 def find_doi(text: Column) -> Column:
-    plain = F.regexp_replace(_or_blank(text), "[­​]", "")
+    plain = F.regexp_replace(_or_blank(text), r"[\u00ad\u200b]", "")
     plain = F.regexp_replace(plain, r"(?iU)doi\s*:\s*", "doi:")
-    found = F.regexp_extract(plain, r"(?U)\b10\.\d{4,9}/[-._;()/:A-Za-z0-9İıſK]+", 0)
+    found = F.regexp_extract(plain, r"(?U)\b10\.\d{4,9}/[-._;()/:A-Za-z0-9\u0130\u0131\u017f\u212a]+", 0)
     return F.rtrim(found, F.lit(".,;:)]}"))
 
 
@@ -72,7 +72,7 @@ def ends_title(line: Column) -> Column:
         strip(line).rlike(r"(?U)\A\d{1,2}\s+[A-Z][a-z]+\s+\d{4}\z"),
         line.rlike(r"(?U)\A[A-Z]\.\s+[A-Z][A-Za-z-]+"),
         F.contains(line, F.lit(" & ")) & ~contains_any(low, JOURNAL_WORDS),
-        line.rlike("(?U)\\s[n∗*]\\s*\\z"),
+        line.rlike(r"(?U)\s[n\u2217*]\s*\z"),
     ]
     return reduce(or_, signs)
 

@@ -39,7 +39,7 @@ MANIFEST_RULES = (
     FieldRule("notes"),
 )
 
-_BLANKS = r"[\s ]*"
+_BLANKS = r"[\s\u00a0]*"
 _QUOTED, _PLAIN = r'"[^"]*+(?:""[^"]*+)*+"', r'(?!")[^",]*+'
 _ANY = f"(?:{_QUOTED}|{_PLAIN})"
 

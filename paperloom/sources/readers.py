@@ -42,7 +42,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     if not exists(spark, path):
         return spark.createDataFrame([], ", ".join(f"{c} string" for c in MANIFEST) + ", row_id bigint")
     rows = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8", nullValue="", emptyValue="", inferSchema=False)
-    rows = rows.withColumnRenamed("﻿" + MANIFEST[0], MANIFEST[0])
+    rows = rows.withColumnRenamed("\ufeff" + MANIFEST[0], MANIFEST[0])
     return tidy(rows).withColumn("row_id", F.monotonically_increasing_id())
 
 
