@@ -16,6 +16,8 @@ from paperloom.storage import staged
 
 #: Words in which two titles of one work may differ, and edits in one word and in all.
 DIFFERENT_WORDS, WORD_EDITS, TITLE_EDITS = 3, 2, 4
+#: Rare words that two titles must share to be compared.
+SHARED_WORDS = 3
 #: Words at the beginning that a cut title shares with the whole one.
 HEAD = 4
 #: Trust in a record by a phrase of its notes, the first that is found; 1 for any other.
@@ -73,37 +75,47 @@ def _same_title(a: list[str], b: list[str], cut_a: bool, cut_b: bool) -> bool:
             return False
         a, b = a[:n], b[:n]
     if len(a) == len(b):
-        changes = [edits(x, y) for x, y in zip(a, b) if x != y]
-        return len(changes) <= DIFFERENT_WORDS and sum(changes) <= TITLE_EDITS and all(n <= WORD_EDITS for n in changes)
+        different = [(x, y) for x, y in zip(a, b) if x != y]
+        if len(different) > DIFFERENT_WORDS:
+            return False
+        changes = [edits(x, y) for x, y in different]
+        return sum(changes) <= TITLE_EDITS and all(n <= WORD_EDITS for n in changes)
     return abs(len(a) - len(b)) == 1 and edits("".join(a), "".join(b)) <= 2
 
 
 def title_links(nodes: DataFrame) -> DataFrame:
     """(a, b) of titles of one year that differ by misspelling, or of which one is cut off.
 
-    Titles that differ in at most ``DIFFERENT_WORDS`` words share two of their ``DIFFERENT_WORDS``
-    + 2 rarest ones, so pairs of these are the keys of the join; cut titles are joined by their
-    first words.
+    Titles that differ in at most ``DIFFERENT_WORDS`` words share ``SHARED_WORDS`` of their
+    ``DIFFERENT_WORDS + SHARED_WORDS`` rarest ones, so every choice of so many of these is a key of
+    the join; cut titles are joined by their first words. What differs in more words or letters is
+    dropped before titles are compared by word. Titles of fewer words are linked if equal only.
     """
     each = nodes.select("node", "evident_year", F.explode(F.array_distinct("words")).alias("word"))
     often = each.groupBy("evident_year", "word").agg(F.count("*").alias("df"))
     ranked = each.join(often, ["evident_year", "word"]).withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("df", "word")))
-    rarest = ranked.filter(F.col("rank") <= DIFFERENT_WORDS + 2).groupBy("node", "evident_year").agg(F.sort_array(F.collect_list("word")).alias("rarest"))
-    pairs = F.flatten(F.transform("rarest", lambda x: F.transform(F.filter("rarest", lambda y: y > x), lambda y: F.concat(x, F.lit(" "), y))))
-    keys = rarest.select("node", "evident_year", F.explode(pairs).alias("key"))
-    pair_a, pair_b = (keys.select("evident_year", "key", F.col("node").alias(x)) for x in "ab")
-    found = pair_a.join(pair_b, ["evident_year", "key"]).filter("a < b").select("a", "b")
-    heads = nodes.select("node", "evident_year", "cut", F.concat_ws(" ", F.slice("words", 1, HEAD)).alias("key"))
-    cut = heads.filter("cut").select("evident_year", "key", F.col("node").alias("a"))
-    found = found.union(cut.join(heads.select("evident_year", "key", F.col("node").alias("b")), ["evident_year", "key"]).filter("a <> b").select("a", "b")).distinct()
+    rarest = ranked.filter(F.col("rank") <= DIFFERENT_WORDS + SHARED_WORDS).groupBy("node", "evident_year").agg(F.sort_array(F.collect_list("word")).alias("rarest"))
+    after = lambda x: F.filter("rarest", lambda y: y > x)
+    choices = F.flatten(F.flatten(F.transform("rarest", lambda x: F.transform(after(x), lambda y: F.transform(after(y), lambda z: F.xxhash64("evident_year", x, y, z))))))
+    keys = rarest.select("node", F.explode(choices).alias("key"))
+    key_a, key_b = (keys.select("key", F.col("node").alias(x)) for x in "ab")
+    found = key_a.join(key_b, "key").filter("a < b").select("a", "b").distinct()
+    sides = [nodes.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}"), F.col("cut").alias(f"cut_{x}")) for x in "ab"]
+    described = lambda pairs: pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "words_a", "words_b", "cut_a", "cut_b")
+    by_place = F.filter(F.zip_with("words_a", "words_b", lambda x, y: F.when(x != y, F.levenshtein(x, y))), lambda n: n.isNotNull())
+    even = (F.size("words_a") == F.size("words_b")) & (F.size(by_place) <= DIFFERENT_WORDS) & (F.coalesce(F.array_max(by_place), F.lit(0)) <= 2 * WORD_EDITS)
+    one_more = F.abs(F.size("words_a") - F.size("words_b")) == 1
+    uneven = one_more & F.levenshtein(F.array_join("words_a", ""), F.array_join("words_b", ""), 2 * WORD_EDITS).between(0, 2 * WORD_EDITS)
+    whole = described(found).filter(~F.col("cut_a") & ~F.col("cut_b") & (even | uneven))
+    heads = nodes.select("node", "cut", F.xxhash64("evident_year", F.slice("words", 1, HEAD)).alias("key"))
+    cut = heads.filter("cut").select("key", F.col("node").alias("a")).join(heads.select("key", F.col("node").alias("b")), "key").filter("a <> b").select("a", "b")
 
     def judge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             same = [_same_title(list(x), list(y), cx, cy) for x, y, cx, cy in zip(pdf["words_a"], pdf["words_b"], pdf["cut_a"], pdf["cut_b"])]
             yield pdf.loc[same, ["a", "b"]]
 
-    sides = [nodes.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}"), F.col("cut").alias(f"cut_{x}")) for x in "ab"]
-    return found.join(sides[0], "a").join(sides[1], "b").select("a", "b", "words_a", "words_b", "cut_a", "cut_b").mapInPandas(judge, "a bigint, b bigint")
+    return whole.union(described(cut)).mapInPandas(judge, "a bigint, b bigint")
 
 
 def with_work(manifest: DataFrame) -> DataFrame:
