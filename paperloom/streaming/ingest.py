@@ -15,7 +15,8 @@ from paperloom.sources.readers import exists
 
 def watch_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """A stream of (filename, path, length, modified) of new files below ``folder``."""
-    found = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
+    found = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
     root = folder.rstrip("/").removeprefix("file://")
     plain = F.regexp_replace("path", r"^[a-z0-9+.-]+:/+", "/")
     return found.select(F.substring(plain, F.lit(len(root) + 2), F.length(plain)).alias("filename"), "path", "length", F.col("modificationTime").alias("modified"))
