@@ -48,6 +48,13 @@ def person_form(spelling: str) -> str:
     return " ".join(sorted(long if len(long) > 1 else found))
 
 
+def given_tokens(spelling: str) -> str:
+    """The tokens behind a comma, else the first one after the titles."""
+    before, comma, behind = spelling.partition(",")
+    found = [t for t in tokens(behind if comma else before) if t not in TITLES]
+    return " ".join(found if comma else found[:1])
+
+
 def journal_form(spelling: str) -> str:
     """The tokens of a journal's name, sorted, without empty words, volume and edition; blank
     for the name of an export tool."""
@@ -117,29 +124,27 @@ def token_similarity(a: str, b: str, kind: str) -> tuple[float, int, bool]:
     return 0.0, 0, False
 
 
-def similarity(a: str, b: str, weight: dict[str, float], kind: str) -> tuple[float, bool]:
+def similarity(a: str, b: str, facts: dict[str, tuple[float, float]], kind: str) -> tuple[float, bool]:
     """Soft weighted similarity of two forms, and whether a token stands for another in short.
 
-    Tokens are matched one to one, the most similar first. All must be matched; only a misspelt
-    empty word of a journal may be left. One match must be of words written out; of a person, one
-    that is at least as rare as what is shortened, as it is the given name that is.
+    ``facts`` gives a token's weight and how often it stands where given names do. Tokens are
+    matched one to one, the most similar first, and all must be; only a misspelt empty word of a
+    journal may be left. One match must be of words written out; of a person, only a given name may
+    be shortened.
     """
     left, right = a.split(), b.split()
     ways = sorted(((*token_similarity(x, y, kind), i, j) for i, x in enumerate(left) for j, y in enumerate(right)), key=lambda w: (-w[0], w[1], w[3], w[4]))
     free_l, free_r = set(range(len(left))), set(range(len(right)))
     total = got = 0.0
     changes, shortened, pet, written = 0, False, False, False
-    rarest_written = rarest_shortened = 0.0
     for sim, n, short, i, j in ways:
         if sim > 0 and i in free_l and j in free_r:
+            full = max(left[i], right[j], key=len)
+            if short and kind == "person" and facts.get(full, (1.0, 1.0))[1] < 0.5:
+                continue
             free_l.remove(i)
             free_r.remove(j)
-            if short:
-                w = weight.get(max(left[i], right[j], key=len), 1.0)
-                rarest_shortened = max(rarest_shortened, w)
-            else:
-                w = max(weight.get(left[i], 1.0), weight.get(right[j], 1.0))
-                rarest_written = max(rarest_written, min(weight.get(left[i], 1.0), weight.get(right[j], 1.0)))
+            w = facts.get(full, (1.0, 0.0))[0] if short else max(facts.get(t, (1.0, 0.0))[0] for t in (left[i], right[j]))
             total += w
             got += w * sim
             changes += n
@@ -149,30 +154,30 @@ def similarity(a: str, b: str, weight: dict[str, float], kind: str) -> tuple[flo
     unmatched = [left[i] for i in free_l] + [right[j] for j in free_r]
     if kind == "journal":
         unmatched = [t for t in unmatched if not (len(t) <= 4 and min(edits(t, e) for e in EMPTY_WORDS) <= 1)]
-    if kind == "person" and (rarest_shortened > rarest_written or pet and changes):
-        return 0.0, shortened
-    if unmatched or not written or changes > MOST_EDITS[kind] or not total:
+    if unmatched or not written or changes > MOST_EDITS[kind] or pet and changes or not total:
         return 0.0, shortened
     return got / total, shortened
 
 
 def forms_of(values: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """(field, spelling, n, form) of each different spelling of (field, spelling)."""
+    """(field, spelling, n, form, given) of each different spelling of (field, spelling); ``given``
+    is the tokens that stand where a person's given names do, behind a comma or else first."""
 
     def reduce(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             pdf["form"] = [FORMS[kinds[f]](s) for f, s in zip(pdf["field"], pdf["spelling"])]
+            pdf["given"] = [given_tokens(s) if kinds[f] == "person" else "" for f, s in zip(pdf["field"], pdf["spelling"])]
             yield pdf[pdf["form"] != ""]
 
     spellings = values.filter(F.col("spelling").isNotNull() & (F.trim("spelling") != "")).groupBy("field", "spelling").agg(F.count("*").alias("n"))
-    return spellings.mapInPandas(reduce, "field string, spelling string, n bigint, form string")
+    return spellings.mapInPandas(reduce, "field string, spelling string, n bigint, form string, given string")
 
 
 def candidates(forms: DataFrame) -> DataFrame:
     """Pairs of (field, form) of which the one with fewer q-grams has ``LEAST_SHARED`` of them in
     common with the other. Its rarest q-grams, as many as it may lack and one more, are looked up
     among all q-grams of the other; the shared ones are counted for the pairs so found."""
-    padded = F.transform(F.split("form", " "), lambda t: F.concat(F.lit("^"), t))
+    padded = F.transform(F.split("form", " "), lambda t: F.concat(F.lit("^"), t, F.lit("$")))
     grams = F.flatten(F.transform(padded, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - (Q - 1))), lambda i: F.substr(t, i, F.lit(Q)))))
     own = staged(forms.select("field", "form", "id", F.array_distinct(grams).alias("grams")), "name-grams")
     each = own.select("field", "id", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
@@ -190,25 +195,36 @@ def candidates(forms: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(shared >= F.ceil(F.size("grams_a") * LEAST_SHARED)).select("field", "a", "b")
 
 
-def links(forms: DataFrame, kinds: dict[str, str]) -> DataFrame:
+def token_facts(spelled: DataFrame) -> DataFrame:
+    """(field, token, df, given): the forms that have a token, and the share of a person's records
+    in which it stands where given names do."""
+    forms = spelled.select("field", "form").distinct()
+    df = forms.select("field", F.explode(F.array_distinct(F.split("form", " "))).alias("token")).groupBy("field", "token").agg(F.count("*").alias("df"))
+    own = spelled.select("field", "n", "given", F.explode(F.array_distinct(F.split("form", " "))).alias("token"))
+    there = F.array_contains(F.split("given", " "), F.col("token"))
+    share = own.groupBy("field", "token").agg((F.sum(F.when(there, F.col("n")).otherwise(0)) / F.sum("n")).alias("given"))
+    return df.join(share, ["field", "token"])
+
+
+def links(spelled: DataFrame, forms: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """(field, a, b, score, shortened) of the candidates that are similar enough."""
     totals = {r["field"]: r["n"] for r in forms.groupBy("field").agg(F.count("*").alias("n")).collect()}
-    words = forms.select("field", F.explode(F.array_distinct(F.split("form", " "))).alias("token")).groupBy("field", "token").agg(F.count("*").alias("df"))
-    weights = forms.select("field", "id", F.explode(F.array_distinct(F.split("form", " "))).alias("token")).join(words, ["field", "token"])
-    weights = staged(forms.join(weights.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("token", "df"))).alias("dfs")), "id").select("id", "form", "n", "dfs"), "name-weights")
+    facts = forms.select("field", "id", F.explode(F.array_distinct(F.split("form", " "))).alias("token")).join(token_facts(spelled), ["field", "token"])
+    facts = facts.groupBy("id").agg(F.collect_list(F.struct("token", "df", "given")).alias("facts"))
+    facts = staged(forms.join(facts, "id").select("id", "form", "n", "facts"), "name-facts")
 
     def judge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             rows = []
-            for field, a, b, fa, fb, na, nb, da, db in pdf.itertuples(index=False):
-                weight = {t: 1 + math.log(totals[field] / df) for t, df in [*dict(da).items(), *dict(db).items()]}
-                score, shortened = similarity(fa, fb, weight, kinds[field])
+            for field, a, b, fa, fb, na, nb, ta, tb in pdf.itertuples(index=False):
+                known = {t["token"]: (1 + math.log(totals[field] / t["df"]), t["given"]) for t in (*ta, *tb)}
+                score, shortened = similarity(fa, fb, known, kinds[field])
                 if score >= LEAST_SIMILARITY and not (not shortened and min(na, nb) >= FREQUENT and min(na, nb) > RARER * max(na, nb)):
                     rows.append((field, a, b, score, shortened))
             yield pd.DataFrame(rows, columns=["field", "a", "b", "score", "shortened"])
 
-    sides = [weights.select(F.col("id").alias(x), F.col("form").alias(f"form_{x}"), F.col("n").alias(f"n_{x}"), F.col("dfs").alias(f"dfs_{x}")) for x in "ab"]
-    full = candidates(forms).join(sides[0], "a").join(sides[1], "b").select("field", "a", "b", "form_a", "form_b", "n_a", "n_b", "dfs_a", "dfs_b")
+    sides = [facts.select(F.col("id").alias(x), F.col("form").alias(f"form_{x}"), F.col("n").alias(f"n_{x}"), F.col("facts").alias(f"facts_{x}")) for x in "ab"]
+    full = candidates(forms).join(sides[0], "a").join(sides[1], "b").select("field", "a", "b", "form_a", "form_b", "n_a", "n_b", "facts_a", "facts_b")
     return full.repartition("a", "b").mapInPandas(judge, "field string, a bigint, b bigint, score double, shortened boolean")
 
 
@@ -224,7 +240,7 @@ def name_entities(values: DataFrame, kinds: dict[str, str]) -> DataFrame:
     """
     spelled = staged(forms_of(values, kinds).withColumn("id", F.xxhash64("field", "form")), "name-forms")
     forms = staged(spelled.groupBy("field", "form", "id").agg(F.sum("n").alias("n")), "name-form-counts")
-    linked = staged(links(forms, kinds), "name-links")
+    linked = staged(links(spelled, forms, kinds), "name-links")
     people = [f for f, kind in kinds.items() if kind == "person"]
     firm = linked.filter(~(F.col("shortened") & F.col("field").isin(people)))
     groups = components(firm.select("a", "b"))

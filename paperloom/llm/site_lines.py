@@ -73,10 +73,11 @@ def _blocks_of_sorted(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     replaces. Those that touch an end of the part are given at every length, as the rest of
     them may lie in the next part.
     """
-    pdf = pd.concat(list(parts), ignore_index=True)
-    n = len(pdf)
-    if not n:
+    frames = [x for x in parts if len(x)]
+    if not frames:
         return
+    pdf = pd.concat(frames, ignore_index=True)
+    n = len(pdf)
     ids = np.full((n, BLOCK_LINES), -1, np.int64)
     for i, suffix in enumerate(pdf["suffix"]):
         ids[i, : len(suffix)] = suffix
