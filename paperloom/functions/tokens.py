@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from paperloom.functions.unicode import SPACE, collapse, let, rstrip
+from paperloom.functions.unicode import collapse, let, rstrip, spaced
 
 TERM = r"[a-z][a-z\-]{3,}"
 
@@ -17,7 +17,7 @@ STOPWORDS = (
 
 
 def count_words(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(rf"[^{SPACE}]+"))
+    return F.regexp_count(spaced(text), F.lit("[^ ]+"))
 
 
 def tokens_of_words(words: Column) -> Column:
@@ -42,14 +42,13 @@ def terms(text: Column) -> Column:
 
 
 def count_phrase(text: Column, phrase: str) -> Column:
-    """Places of a phrase in the lower-cased text that do not overlap."""
-    low = F.lower(F.coalesce(text, F.lit("")))
-    return F.floor((F.length(low) - F.length(F.replace(low, F.lit(phrase), F.lit("")))) / len(phrase)).cast("long")
+    """Places of a phrase in a text, in lower case both, that do not overlap."""
+    return F.floor((F.length(text) - F.length(F.replace(text, F.lit(phrase), F.lit("")))) / len(phrase)).cast("long")
 
 
 def last_words(text: Column, most: int) -> Column:
     """The last ``most`` words, joined by single blanks."""
     if most <= 0:
         return F.lit("")
-    words = F.regexp_extract_all(text, F.lit(rf"([^{SPACE}]+)"), 1)
-    return F.array_join(F.slice(words, F.greatest(F.lit(1), F.size(words) - most + 1), most), " ")
+    words = F.split(F.trim(spaced(text)), " +")
+    return let(words, lambda w: F.array_join(F.slice(w, F.greatest(F.lit(1), F.size(w) - most + 1), most), " "))

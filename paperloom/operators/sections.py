@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.tokens import count_words, last_words, tokens_of_words
-from paperloom.functions.unicode import SPACE, lines, strip
+from paperloom.functions.unicode import lines, lstrip, strip
 
 # fixed values: names that make a line a heading, and those that do after a blank line only
 SECTION_NAMES = (
@@ -20,7 +20,7 @@ NUMBER_HEADING = r"(?U)\A(?:[1-9]|[1-9]\d)\s*\.\s*(?:\d+\s*\.\s*)*[A-Z][A-Za-z0-
 def without_front_matter(text: Column) -> Column:
     """The text behind a leading block between two lines of three hyphens."""
     end = F.locate("\n---\n", text, 5)
-    rest = F.regexp_replace(F.substring(text, end + 5, F.length(text)), rf"\A[{SPACE}]+", "")
+    rest = lstrip(F.substring(text, end + 5, F.length(text)))
     return F.when(F.startswith(text, F.lit("---\n")) & (end > 0), rest).otherwise(text)
 
 

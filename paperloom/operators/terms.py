@@ -46,9 +46,10 @@ def frequent_terms(chunks: DataFrame, order: list[str], most: int = 25, without_
 def phrase_counts(chunks: DataFrame, phrases: tuple[str, ...], by_count: bool = False, most: int | None = None) -> DataFrame:
     """(examiner, rank, term, n): the given phrases that occur in an examiner's texts, in the order
     given or, with ``by_count``, by falling count and then that order."""
-    found = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(p).alias("term"), count_phrase(F.col("text"), p).alias("n")) for i, p in enumerate(phrases, 1)])
-    each = chunks.select(examiner(), F.inline(F.filter(found, lambda x: x["n"] > 0)))
-    counts = each.groupBy("examiner", "place", "term").agg(F.sum("n").alias("n"))
+    low = chunks.select(examiner(), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
+    sums = low.groupBy("examiner").agg(*[F.sum(count_phrase(F.col("text"), p)).alias(f"n{i}") for i, p in enumerate(phrases)])
+    found = F.array(*[F.struct(F.lit(i + 1).alias("place"), F.lit(p).alias("term"), F.col(f"n{i}").alias("n")) for i, p in enumerate(phrases)])
+    counts = sums.select("examiner", F.inline(found)).filter("n > 0")
     order = Window.partitionBy("examiner").orderBy(*([F.desc("n")] if by_count else []), "place")
     ranked = counts.withColumn("rank", F.row_number().over(order))
     return (ranked.filter(F.col("rank") <= most) if most else ranked).select("examiner", "rank", "term", "n")

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from paperloom.functions import checks, clean, names, tokens, unicode
 from paperloom.functions.pdfinfo import clean_title, find_doi, paper_metadata, title_of_text
 
-PIECES = ["a", "B", "7", "12", "ö", " ", "  ", "\t", "\n", "\n\n", "\r", "\r\n", "\x0b", "\f", "\x1c", "\x85", "\xa0", " ", "　", "-", "-\n", "_", "|", "#", "# ", "http://x.y", ".", ")", "ﬁ"]
+PIECES = ["a", "B", "7", "12", "\xf6", " ", "  ", "\t", "\n", "\n\n", "\r", "\r\n", "\x0b", "\f", "\x1c", "\x1f", "\x85", "\xa0", " ", "　", "-", "-\n", "_", "|", "#", "# ", "http://x.y", ".", ")", "ﬁ"]
+
+
+def test_character_sets():
+    assert set(unicode.SPACES) == {chr(i) for i in range(0x110000) if chr(i).isspace()}
+    assert set(unicode.LINE_ENDS) == {chr(i) for i in range(0x110000) if len(f"a{chr(i)}b".splitlines()) == 2}
 
 
 def strings(n=300, most=14):
@@ -103,7 +108,7 @@ def test_names(spark):
 
 def test_excerpt_and_phrases(spark):
     assert applied(spark, lambda c: tokens.excerpt(c, 30), ["a  b\nc", "x" * 40, None]) == ["a b c", "x" * 15 + " [truncated]", ""]
-    assert applied(spark, lambda c: tokens.count_phrase(c, "aa"), ["aaaaa", "AA b", None]) == [2, 1, 0]
+    assert applied(spark, lambda c: tokens.count_phrase(F.lower(c), "aa"), ["aaaaa", "AA b", ""]) == [2, 1, 0]
 
 
 def test_sources(spark):
