@@ -16,7 +16,7 @@ def join_divided_words(text: Column) -> Column:
 
 
 def join_divided_urls(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)\b(https?://)\s*\n\s*", "$1")
+    return F.regexp_replace(text, r"(?U)\b(https?://)[\s\x1c-\x1f]*\n[\s\x1c-\x1f]*", "$1")
 
 
 def drop_headers_footers(text: Column) -> Column:
@@ -43,7 +43,7 @@ def drop_headers_footers(text: Column) -> Column:
 
 
 def drop_page_numbers(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?mdU)^\s*\d{1,4}\s*$", "")
+    return F.regexp_replace(text, r"(?mdU)^[\s\x1c-\x1f]*\d{1,4}[\s\x1c-\x1f]*$", "")
 
 
 def tidy_space(text: Column) -> Column:
@@ -63,12 +63,12 @@ def clean_texts(df: DataFrame, column: str = "text", urls: bool = False) -> Data
 
 def wrap_urls(text: Column) -> Column:
     """Bare addresses in angle brackets, marks at their end outside."""
-    return F.regexp_replace(text, r"(?U)(?<![<(])\b(?=https?://[^\s<>)])(https?://[^\s<>)]*?)([.,;:\]]*)(?=[\s<>)]|\z)", "<$1>$2")
+    return F.regexp_replace(text, r"(?U)(?<![<(])\b(?=https?://[^\s\x1c-\x1f<>)])(https?://[^\s\x1c-\x1f<>)]*?)([.,;:\]]*)(?=[\s\x1c-\x1f<>)]|\z)", "<$1>$2")
 
 
 def escape_headings(text: Column) -> Column:
     """A backslash before number signs that would make a line a heading."""
-    return F.array_join(F.transform(lines(text), lambda x: F.regexp_replace(x, r"(?U)\A(\s{0,3})(#{1,6})(?=\s)", r"$1\\$2")), "\n")
+    return F.array_join(F.transform(lines(text), lambda x: F.regexp_replace(x, r"(?U)\A([\s\x1c-\x1f]{0,3})(#{1,6})(?=[\s\x1c-\x1f])", r"$1\\$2")), "\n")
 
 
 def page_markdown(page_no: Column, text: Column) -> Column:

@@ -38,7 +38,7 @@ def _or_blank(value: Column) -> Column:
 
 def find_doi(text: Column) -> Column:
     plain = F.regexp_replace(_or_blank(text), r"[\u00ad\u200b]", "")
-    plain = F.regexp_replace(plain, r"(?iU)doi\s*:\s*", "doi:")
+    plain = F.regexp_replace(plain, r"(?iU)doi[\s\x1c-\x1f]*:[\s\x1c-\x1f]*", "doi:")
     found = F.regexp_extract(plain, r"(?U)\b10\.\d{4,9}/[-._;()/:A-Za-z0-9\u0130\u0131\u017f\u212a]+", 0)
     return F.rtrim(found, F.lit(".,;:)]}"))
 
@@ -55,7 +55,7 @@ def find_year(info: Column, text: Column) -> Column:
 
 
 def clean_title(title: Column) -> Column:
-    title = F.regexp_replace(_or_blank(title), r"(?U)(?<=\w)_\s+(?=[A-Z])", ": ")
+    title = F.regexp_replace(_or_blank(title), r"(?U)(?<=\w)_[\s\x1c-\x1f]+(?=[A-Z])", ": ")
     title = collapse(F.regexp_replace(title, r"(?U)(?<=\w)_+(?=\w)", " "))
     return let(title, lambda t: F.when((F.length(t) < 8) | contains_any(F.lower(t), BAD_TITLE), "").otherwise(t))
 
@@ -69,10 +69,10 @@ def ends_title(line: Column) -> Column:
     signs = [
         low.isin(*STOP_LINES),
         contains_any(low, STOP_PARTS),
-        strip(line).rlike(r"(?U)\A\d{1,2}\s+[A-Z][a-z]+\s+\d{4}\z"),
-        line.rlike(r"(?U)\A[A-Z]\.\s+[A-Z][A-Za-z-]+"),
+        strip(line).rlike(r"(?U)\A\d{1,2}[\s\x1c-\x1f]+[A-Z][a-z]+[\s\x1c-\x1f]+\d{4}\z"),
+        line.rlike(r"(?U)\A[A-Z]\.[\s\x1c-\x1f]+[A-Z][A-Za-z-]+"),
         F.contains(line, F.lit(" & ")) & ~contains_any(low, JOURNAL_WORDS),
-        line.rlike(r"(?U)\s[n\u2217*]\s*\z"),
+        line.rlike(r"(?U)[\s\x1c-\x1f][n\u2217*][\s\x1c-\x1f]*\z"),
     ]
     return reduce(or_, signs)
 
@@ -105,7 +105,7 @@ def useful_source(source: Column, title: Column, surnames: tuple[str, ...] = ())
     first = F.left(source, F.lit(1))
     bad = [
         ~F.length(source).between(4, 120),
-        F.startswith(F.regexp_replace(source, r"(?U)\A\s+", ""), F.lit(",")),
+        F.startswith(F.regexp_replace(source, r"(?U)\A[\s\x1c-\x1f]+", ""), F.lit(",")),
         first.rlike(r"(?U)\p{Ll}"),
         _not_title(source),
         ends_title(source),
@@ -113,7 +113,7 @@ def useful_source(source: Column, title: Column, surnames: tuple[str, ...] = ())
         F.startswith(low, F.lit("keywords")),
         F.startswith(source, F.lit("#")),
         contains_any(low, ("all rights reserved", "copyright")),
-        ~journal & source.rlike(r"(?U)\A[A-Z][A-Za-z-]+(?:\s+[A-Z][A-Za-z-]+){1,3}\z"),
+        ~journal & source.rlike(r"(?U)\A[A-Z][A-Za-z-]+(?:[\s\x1c-\x1f]+[A-Z][A-Za-z-]+){1,3}\z"),
         ~journal & F.contains(source, F.lit(" & ")),
         contains_any(low, BAD_SOURCE),
         (heading != "") & (F.contains(heading, low) | F.contains(low, heading)),

@@ -13,8 +13,8 @@ SECTION_NAMES = (
     "abstract", "introduction", "literature review", "theory", "method", "methods", "results", "findings", "discussion", "conclusion", "references",
 )
 LATE_NAMES = ("acknowledgements", "acknowledgments", "appendix")
-MARK_HEADING = r"(?U)\A(#{1,6})\s+(.+?)\s*\z"
-NUMBER_HEADING = r"(?U)\A(?:[1-9]|[1-9]\d)\s*\.\s*(?:\d+\s*\.\s*)*[A-Z][A-Za-z0-9,;:()/%&\- ]{2,100}\z"
+MARK_HEADING = r"(?U)\A(#{1,6})[\s\x1c-\x1f]+(.+?)[\s\x1c-\x1f]*\z"
+NUMBER_HEADING = r"(?U)\A(?:[1-9]|[1-9]\d)[\s\x1c-\x1f]*\.[\s\x1c-\x1f]*(?:\d+[\s\x1c-\x1f]*\.[\s\x1c-\x1f]*)*[A-Z][A-Za-z0-9,;:()/%&\- ]{2,100}\z"
 
 
 def without_front_matter(text: Column) -> Column:
@@ -39,7 +39,7 @@ def marked_lines(texts: DataFrame, id_column: str, text_column: str = "text") ->
     before = Window.partitionBy(id_column).orderBy("line_no")
     after_blank = (F.lag("plain").over(before) == "") & ~F.lag("sure").over(before)
     late = F.coalesce(after_blank, F.lit(False)) & name.isin(*LATE_NAMES)
-    dots = F.regexp_extract(plain, r"(?U)\A((?:\d+\s*\.\s*)+)", 1)
+    dots = F.regexp_extract(plain, r"(?U)\A((?:\d+[\s\x1c-\x1f]*\.[\s\x1c-\x1f]*)+)", 1)
     level = F.when(mark != "", F.length(mark)).otherwise(F.least(F.lit(6), F.greatest(F.lit(1), F.length(dots) - F.length(F.replace(dots, F.lit("."), F.lit(""))))))
     heading = F.when(mark != "", strip(F.regexp_extract("line", MARK_HEADING, 2))).otherwise(plain)
     is_heading = F.col("sure") | late
