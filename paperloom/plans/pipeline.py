@@ -20,10 +20,10 @@ from paperloom.operators import conversion, manifest, preflight, reports, sectio
 from paperloom.sources import extractors, readers, render, writers
 from paperloom.storage import staged
 
-# fixed values: the rows of a manifest before any file was scanned
+#: The rows of a manifest before any file was scanned; they go when the first files come.
 EXAMPLE_ROWS = (
-    ("example_wouters_2015.pdf", "Marc Wouters", "Example Paper Title", "2015", "10.xxxx/example", "Manual download", "Replace this row later"),
-    ("example_fichtner_2020.pdf", "Wolf Fichtner", "Another Example Paper", "2020", "", "Manual download", "DOI missing"),
+    ("example_first_2015.pdf", "First Examiner", "A title to replace", "2015", "10.xxxx/example", "Downloaded by hand", "An example; a scan removes it"),
+    ("example_second_2020.pdf", "Second Examiner", "Another title to replace", "2020", "", "Downloaded by hand", "An example without DOI"),
 )
 FOLDERS = ("data_dir", "raw_pdf_dir", "processed_dir", "markdown_dir", "json_dir", "tei_dir", "chunks_dir", "index_dir", "reports_dir", "exports_dir", "llm_export_dir")
 NO_FILES = "No PDFs found yet. Add your examiner publications to data/raw_pdfs/ and run scan-pdfs again."
@@ -208,13 +208,16 @@ class Corpus:
             "Duplicate PDFs": enriched.filter("duplicate_sha256 = 'true'").select(F.col("filename").alias("item")),
             "Conversion Warnings": papers.select(F.explode(F.transform("conversion.warnings", lambda w: F.concat(name, F.lit(": "), w))).alias("item")),
         }
+        alive = papers.agg(F.coalesce(F.max_by("conversion.grobid_available", "file").cast("string"), F.lit("unknown")).alias("alive"))
         path = f"{self._at('reports_dir')}/quality"
-        writers.write_report(render.quality_report(summary, lists), path)
+        writers.write_report(render.quality_report(summary, alive, lists), path)
         return Result([f"Wrote quality report: {path}"], rows=summary)
 
     def defense_prep(self) -> Result:
-        path = f"{self._at('reports_dir')}/defense"
-        writers.write_report(render.defense_reports(self._chunks(), ["row_id"]), path)
+        path, chunks = f"{self._at('reports_dir')}/defense", self._chunks()
+        names = ("examiner_overview", "theme_index", "method_index", "theory_index")
+        none = lambda: render.together(*[render.fixed(self.spark, n, 0, "# Not Enough Corpus Data Yet", "", "No chunks were found.") for n in names])
+        writers.write_report(none() if chunks.isEmpty() else render.defense_reports(chunks, ["row_id"]), path)
         return Result([f"Wrote defense-prep output: {path}"])
 
     def export_llm(self) -> Result:
@@ -223,7 +226,7 @@ class Corpus:
         rag = reports.rag_rows(chunks.drop("row_id"), options.include_full_chunk_text, options.max_chars_per_chunk)
         writers.write_jsonl(rag, f"{folder}/chunks_for_rag.jsonl")
         packs = render.examiner_packs(chunks, self._papers(), ["title", "chunk_index", "row_id"], options.max_chunks_per_examiner, options.max_chars_per_chunk)
-        writers.write_report(render.together(render.corpus_overview(chunks), packs), f"{folder}/packs")
+        writers.write_report(render.together(render.corpus_overview(chunks), render.prompt_template(self.spark), packs), f"{folder}/packs")
         none = ["No chunks found yet. Run process and chunk before using the LLM exports."] if chunks.isEmpty() else []
         return Result([*none, f"Wrote RAG export: {folder}/chunks_for_rag.jsonl", f"Wrote overview and packs: {folder}/packs"])
 

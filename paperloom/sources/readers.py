@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.operators.manifest import MANIFEST, tidy
+from paperloom.operators.manifest import ENRICHED, MANIFEST, tidy
 from paperloom.schemas import CHUNK, PAPER
 
 
@@ -46,6 +46,14 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return tidy(rows).withColumn("row_id", F.monotonically_increasing_id())
 
 
+def read_enriched(spark: SparkSession, path: str) -> DataFrame:
+    """The validated manifest with all its columns, values as written; empty if there is no file."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in ENRICHED))
+    rows = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8", inferSchema=False)
+    return rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in rows.columns])
+
+
 def read_papers(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each paper of the JSON files in ``folder``, with ``file``, the file's stem.
 

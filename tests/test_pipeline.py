@@ -54,7 +54,7 @@ def report(root, folder, name):
 def test_run_all(corpus):
     made, done, root = corpus
     text = (root / "data/manifest.csv").read_text()
-    assert "example_wouters" not in text and text.count("\n") == 4 and "Tariff design in grids" in text
+    assert "example_first" not in text and text.count("\n") == 4 and "Tariff design in grids" in text
     notes = {tuple(r) for r in done.warnings.collect()}
     assert ("Bob/same.pdf", "duplicate PDF hash") in notes and ("Bob/same.pdf", "no converter succeeded") in notes
     papers = sorted((root / "data/processed/json").glob("*.json"))
@@ -67,6 +67,7 @@ def test_run_all(corpus):
     assert chunks.count() >= 5 and chunks.filter("chunk_id rlike '_000[0-9]$'").count() == chunks.count()
     quality = report(root, "data/reports/quality", "conversion_quality_report")
     assert "- PDFs found: 3" in quality and "- Failed conversions: 1" in quality and "- Bob/same.pdf" in quality
+    assert "- GROBID availability: false" in quality
     assert "- survey: 1" in report(root, "data/reports/defense", "method_index")
     pack = report(root, "data/exports/llm/packs", "examiner_pack_ann-lee")
     assert "# LLM Examiner Pack: Ann Lee" in pack and "```text" in pack and "- Section: Abstract" in pack
@@ -100,6 +101,9 @@ def test_empty_corpus(spark, tmp_path):
     assert any("No PDFs found" in m for m in done.messages) and any("No chunks found" in m for m in done.messages)
     assert readers.read_manifest(spark, f"file://{tmp_path}/data/manifest.csv").count() == 2
     assert made.validate_manifest().rows.first()["validation_warnings"].startswith("raw_pdf_dir empty")
+    enriched = readers.read_enriched(spark, f"file://{tmp_path}/data/processed/manifest_enriched.csv")
+    assert enriched.count() == 2 and enriched.columns[-1] == "validation_warnings" and enriched.first()["exists"] == "false"
+    assert "Not Enough Corpus Data" in report(tmp_path, "data/reports/defense", "theme_index")
 
 
 def test_manifest_file(spark, tmp_path):
