@@ -18,6 +18,8 @@ from paperloom.storage import staged
 LONG_TEXT = 500_000
 #: Containers that one task fills, about; each task may leave its last ones part empty.
 BINS_PER_TASK = 2000
+#: Kinds of containers, at most.
+MOST_KINDS = 1000
 
 _PLACES = "container_kind string, capacity_tokens int, bin_id string, doc_id bigint, part_no int, parts int, token_start bigint, tokens int"
 
@@ -141,7 +143,10 @@ def pack(sizes: DataFrame, containers: DataFrame, bins_per_task: int = BINS_PER_
     0 tokens take part; null sizes count as 0; a container without positive capacity is left out;
     repeated ids are packed once for each row.
     """
-    kinds = [(r[0], int(r[1])) for r in containers.select("container_kind", "capacity_tokens").distinct().collect() if r[1] and r[1] > 0]
+    kinds = containers.filter("capacity_tokens > 0").select("container_kind", "capacity_tokens").distinct().limit(MOST_KINDS + 1).collect()
+    if len(kinds) > MOST_KINDS:
+        raise ValueError(f"more than {MOST_KINDS} kinds of containers")
+    kinds = [(r[0], int(r[1])) for r in kinds]
     total = sizes.agg(F.sum("tokens")).first()[0] or 0
     each = F.array(*[
         F.struct(F.lit(k).alias("container_kind"), F.lit(c).alias("capacity_tokens"), F.lit(max(1, round(total / (c * bins_per_task)))).alias("tasks"))
