@@ -41,7 +41,8 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_clean_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return site_lines.without_lines(_table(spark, folder, "chunks"), _site_lines(spark, folder))
+    cleaned = site_lines.without_lines(_table(spark, folder, "chunks"), _site_lines(spark, folder))
+    return cleaned.select("row_id", "text", F.array_join("removed", "\n").alias("removed"))
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,5 +137,14 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": _TERMS + "SELECT field, term, mark FROM marked WHERE mark IS NOT NULL",
         "p1_term_frequency": _TERMS + "SELECT field, term, occurrences, records, mark FROM marked",
+        "p2_clean_texts": _LINES
+        + """, every AS (
+  SELECT row_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM chunks WHERE text IS NOT NULL
+), gone AS (SELECT row_id, line_no FROM keyed JOIN often USING (source, key)
+), kept AS (
+  SELECT row_id, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE g.line_no IS NULL), '') AS text,
+    coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE g.line_no IS NOT NULL), '') AS removed
+  FROM every LEFT JOIN gone g USING (row_id, line_no) GROUP BY row_id
+) SELECT c.row_id, k.text AS text, coalesce(k.removed, '') AS removed FROM chunks c LEFT JOIN kept k USING (row_id)""",
         "p2_found": _LINES + "SELECT row_id, CAST(line_no AS INTEGER) AS line_no FROM keyed JOIN often USING (source, key)",
     }
