@@ -10,7 +10,7 @@ from paperloom.functions.pdfinfo import find_doi, paper_metadata
 from paperloom.functions.unicode import blank_to
 from paperloom.operators import reports, sections, terms, vectors
 from paperloom.plans import sqltext as q
-from paperloom.storage import staged
+from paperloom.storage import spread, staged
 
 #: Sizes of the chunks that ``document_chunks`` makes, small enough for most texts to have several.
 TARGET, OVERLAP = 120, 20
@@ -21,24 +21,29 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose texts are worked on, over all cores."""
+    return spread(_table(spark, folder, name))
+
+
 def theme_index(spark, folder):
-    return terms.frequent_terms(_table(spark, folder, "chunks"), ["row_id"])
+    return terms.frequent_terms(_texts(spark, folder, "chunks"), ["row_id"])
 
 
 def theme_signals(spark, folder):
-    return terms.frequent_terms(_table(spark, folder, "chunks"), PACK_ORDER, 20, without_links=True)
+    return terms.frequent_terms(_texts(spark, folder, "chunks"), PACK_ORDER, 20, without_links=True)
 
 
 def method_index(spark, folder):
-    return terms.phrase_counts(_table(spark, folder, "chunks"), terms.METHOD_TERMS)
+    return terms.phrase_counts(_texts(spark, folder, "chunks"), terms.METHOD_TERMS)
 
 
 def method_signals(spark, folder):
-    return terms.phrase_counts(_table(spark, folder, "chunks"), terms.METHOD_TERMS, by_count=True, most=20)
+    return terms.phrase_counts(_texts(spark, folder, "chunks"), terms.METHOD_TERMS, by_count=True, most=20)
 
 
 def theory_index(spark, folder):
-    return terms.phrase_counts(_table(spark, folder, "chunks"), terms.THEORY_TERMS)
+    return terms.phrase_counts(_texts(spark, folder, "chunks"), terms.THEORY_TERMS)
 
 
 def section_signals(spark, folder):
@@ -50,11 +55,11 @@ def selected_chunks(spark, folder):
 
 
 def token_estimates(spark, folder):
-    return _table(spark, folder, "documents").select("doc_id", tokens.estimate_tokens(F.col("text")).cast("bigint").alias("tokens"))
+    return _texts(spark, folder, "documents").select("doc_id", tokens.estimate_tokens(F.col("text")).cast("bigint").alias("tokens"))
 
 
 def corpus_size(spark, folder):
-    return reports.corpus_size(_table(spark, folder, "chunks"))
+    return reports.corpus_size(_texts(spark, folder, "chunks"))
 
 
 def examiner_overview(spark, folder):
@@ -66,14 +71,14 @@ def pack_papers(spark, folder):
 
 
 def quality_summary(spark, folder):
-    chunks, files = _table(spark, folder, "chunks"), _table(spark, folder, "preflight")
+    chunks, files = _texts(spark, folder, "chunks"), _table(spark, folder, "preflight")
     scanned = files.groupBy(F.col("filename").alias("source_pdf")).agg(F.bool_or("likely_scanned").alias("scanned"))
     papers = chunks.select("paper_id", "source_pdf").distinct().join(scanned, "source_pdf", "left").groupBy("paper_id").agg(F.bool_or("scanned").alias("fallback_used"))
     return reports.quality_summary(papers, chunks, files.select("filename").distinct())
 
 
 def tiny_chunks(spark, folder):
-    return reports.tiny_chunks(_table(spark, folder, "chunks")).select("row_id", "chunk_id")
+    return reports.tiny_chunks(_texts(spark, folder, "chunks")).select("row_id", "chunk_id")
 
 
 def exported_chunks(spark, folder):
@@ -81,11 +86,11 @@ def exported_chunks(spark, folder):
 
 
 def excerpt_rows(spark, folder):
-    return reports.rag_rows(_table(spark, folder, "chunks"), full_text=False, most_characters=400).select("row_id", "chunk_id", "text_excerpt")
+    return reports.rag_rows(_texts(spark, folder, "chunks"), full_text=False, most_characters=400).select("row_id", "chunk_id", "text_excerpt")
 
 
 def content_hashes(spark, folder):
-    own = _table(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
+    own = _texts(spark, folder, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"))
     counts = own.groupBy("sha256").agg((F.count("*") > 1).alias("duplicate"))
     return own.join(counts, "sha256").select("doc_id", "sha256", "duplicate")
 
@@ -94,7 +99,7 @@ def layout_choice(spark, folder):
     """Whether a paper's text layer, all of its chunks, should replace the chunks with a section."""
     low, kept = F.lower(F.coalesce("text", F.lit(""))), F.col("section").isNotNull()
     has = F.contains(low, F.lit("references"))
-    sums = _table(spark, folder, "chunks").groupBy("paper_id").agg(
+    sums = _texts(spark, folder, "chunks").groupBy("paper_id").agg(
         F.sum(F.length(low)).alias("text_length"), F.sum(F.when(kept, F.length(low)).otherwise(0)).alias("layout_length"),
         F.bool_or(has).alias("in_text"), F.bool_or(has & kept).alias("in_layout"),
     )
@@ -103,51 +108,51 @@ def layout_choice(spark, folder):
 
 
 def joined_words(spark, folder):
-    return _table(spark, folder, "documents").select("doc_id", clean.join_divided_words(F.col("text")).alias("text"))
+    return _texts(spark, folder, "documents").select("doc_id", clean.join_divided_words(F.col("text")).alias("text"))
 
 
 def without_page_numbers(spark, folder):
     numbered = F.replace(F.col("text"), F.lit("\n\n"), F.lit("\n\n 12 \n\n"))
-    return _table(spark, folder, "documents").select("doc_id", clean.drop_page_numbers(numbered).alias("text"))
+    return _texts(spark, folder, "documents").select("doc_id", clean.drop_page_numbers(numbered).alias("text"))
 
 
 def tidy_texts(spark, folder):
     loose = F.replace(F.replace(F.col("text"), F.lit("\n\n"), F.lit(" \r\n\n\n\t")), F.lit(", "), F.lit(",\t  "))
-    return _table(spark, folder, "documents").select("doc_id", clean.tidy_space(loose).alias("text"))
+    return _texts(spark, folder, "documents").select("doc_id", clean.tidy_space(loose).alias("text"))
 
 
 def wrapped_urls(spark, folder):
     linked = F.concat("text", F.lit(" see https://a.example/"), F.col("doc_id").cast("string"), F.lit("., or (http://b.example) and <https://c.example> https://."))
-    return _table(spark, folder, "documents").select("doc_id", clean.wrap_urls(linked).alias("text"))
+    return _texts(spark, folder, "documents").select("doc_id", clean.wrap_urls(linked).alias("text"))
 
 
 def without_headers(spark, folder):
     """Each paragraph as a page below a line with the text's source."""
     name = F.coalesce("source", F.lit("unknown source"))
     paged = F.concat(name, F.lit("\n"), F.replace(F.col("text"), F.lit("\n\n"), F.concat(F.lit("\f"), name, F.lit("\n"))))
-    own = _table(spark, folder, "documents").select("doc_id", paged.alias("text"))
+    own = _texts(spark, folder, "documents").select("doc_id", paged.alias("text"))
     return own.select("doc_id", clean.drop_headers_footers(F.col("text")).alias("text"))
 
 
 def clean_documents(spark, folder):
-    return clean.clean_texts(_table(spark, folder, "documents").select("doc_id", "text"), urls=True)
+    return clean.clean_texts(_texts(spark, folder, "documents").select("doc_id", "text"), urls=True)
 
 
 def document_sections(spark, folder):
-    return sections.sections(_table(spark, folder, "documents"), "doc_id").select("doc_id", "section_id", "heading", "level", "text")
+    return sections.sections(_texts(spark, folder, "documents"), "doc_id").select("doc_id", "section_id", "heading", "level", "text")
 
 
 def short_papers(spark, folder):
-    own = sections.sections(_table(spark, folder, "documents"), "doc_id")
+    own = sections.sections(_texts(spark, folder, "documents"), "doc_id")
     return reports.paper_sizes(own, "doc_id").filter("short").select("doc_id", "characters", "sections")
 
 
 def document_blocks(spark, folder):
-    return sections.blocks(_table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
+    return sections.blocks(_texts(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
 
 
 def document_chunks(spark, folder):
-    parts = staged(sections.sections(_table(spark, folder, "documents"), "doc_id"), "sections")
+    parts = staged(sections.sections(_texts(spark, folder, "documents"), "doc_id"), "sections")
     return sections.chunks(parts, "doc_id", TARGET, OVERLAP).select("doc_id", "section", "chunk_index", "text", F.col("token_count_estimate").cast("bigint").alias("tokens"))
 
 
@@ -170,13 +175,13 @@ def nearest_vectors(spark, folder):
 
 
 def index_entries(spark, folder):
-    made = vectors.build_index(_table(spark, folder, "chunks").drop("row_id"))
+    made = vectors.build_index(_texts(spark, folder, "chunks").drop("row_id"))
     return made.select("chunk_id", "document", F.size("embedding").cast("bigint").alias("dimensions"))
 
 
 def question_hits(spark, folder):
     """The chunks nearest to a question, by the embedder without a model."""
-    made = vectors.build_index(_table(spark, folder, "chunks").select("chunk_id", "title", "chunk_index", "text", "exported_at"))
+    made = vectors.build_index(_texts(spark, folder, "chunks").select("chunk_id", "title", "chunk_index", "text", "exported_at"))
     return vectors.search(made, "How do flexible tariffs change household demand?", 20).select("chunk_id", "title", "similarity")
 
 

@@ -34,3 +34,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A table as read from files, dealt over all cores if its files give fewer parts than these.
+
+    Work on texts is bound by the processor, so a few large files must not keep it on a few cores. A
+    table of many files is left as it is, without an exchange. For plain reads only.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
