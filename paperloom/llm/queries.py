@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from paperloom.llm import frequency, languages, leakage, names, packing, site_lines, works
 from paperloom.skew import salted_join
-from paperloom.storage import staged
+from paperloom.storage import spread, staged
 
 #: Shares of all records above which a term is too common.
 COMMON = {"text": 0.20, "examiner": 0.05}
@@ -20,8 +20,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """The named columns of a table whose texts are worked on, over all cores."""
+    return spread(_table(spark, folder, name).select(*columns))
+
+
 def _terms(spark: SparkSession, folder: str) -> DataFrame:
-    return frequency.term_frequency(_table(spark, folder, "chunks"), ["text"], ["examiner"], 2, COMMON)
+    return frequency.term_frequency(_texts(spark, folder, "chunks", "text", "examiner"), ["text"], ["examiner"], 2, COMMON)
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,7 +38,7 @@ def p1_term_frequency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _site_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return site_lines.site_line_places(site_lines.site_block_rows(_table(spark, folder, "chunks"), _table(spark, folder, "manifest")))
+    return site_lines.site_line_places(site_lines.site_block_rows(_texts(spark, folder, "chunks", "row_id", "source_pdf", "text"), _table(spark, folder, "manifest")))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -70,20 +75,20 @@ def p4_entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_containers(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_texts(_table(spark, folder, "documents"), _table(spark, folder, "containers"))
+    return packing.pack_texts(_texts(spark, folder, "documents", "doc_id", "text"), _table(spark, folder, "containers"))
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return leakage.leaked_items(_table(spark, folder, "documents"), _table(spark, folder, "eval_items")).select("doc_id", "item_id")
+    return leakage.leaked_items(_texts(spark, folder, "documents", "doc_id", "text"), _table(spark, folder, "eval_items")).select("doc_id", "item_id")
 
 
 def p7_clean_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return leakage.without_leaks(_table(spark, folder, "documents"), _table(spark, folder, "eval_items"))
+    return leakage.without_leaks(_texts(spark, folder, "documents", "doc_id", "text"), _table(spark, folder, "eval_items"))
 
 
 def _segments(spark: SparkSession, folder: str) -> DataFrame:
-    documents = _table(spark, folder, "documents")
-    return languages.language_segments(documents, languages.fit_language_model(documents))
+    model = languages.fit_language_model(_table(spark, folder, "documents"))
+    return languages.language_segments(_texts(spark, folder, "documents", "doc_id", "lang", "text"), model)
 
 
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
