@@ -9,15 +9,18 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.storage import staged
+
 LANGUAGES = ("en", "de", "fr", "es", "pt", "nl")
 
 # fixed values: names and codes of the languages, by ISO 639, in English and in the language itself
@@ -149,29 +152,51 @@ def _expected_counts(word_counts: dict[str, float], probability: dict[str, float
     return expected
 
 
-def fit_pieces(word_counts: dict[str, dict[str, float]], pieces: set[str]) -> SegmentationModel:
-    """Fit the piece probabilities of each language to its word counts by ``ROUNDS`` rounds of
-    expectation and maximisation, from equal probabilities of pieces of equal length."""
+def fit_pieces(word_counts: dict[str, float], pieces: list[str]) -> np.ndarray:
+    """The probabilities of the pieces of one language, fitted to its word counts by ``ROUNDS`` rounds
+    of expectation and maximisation, from probabilities that fall with the length of a piece."""
     longest = max(map(len, pieces), default=1)
-    start = {p: 30.0 ** -len(p) * 10 ** (len(p) - 1) for p in pieces}
-    langs = tuple(x for x in LANGUAGES if word_counts.get(x))
-    fitted = {}
-    for lang in langs:
-        short = {w: n for w, n in word_counts[lang].items() if len(w) <= WORD_PART}
-        probability = start
-        for _ in range(ROUNDS):
-            counts = _expected_counts(short, probability, longest)
-            total = sum(counts.values()) + SMOOTHING * len(pieces)
-            probability = {p: (counts.get(p, 0.0) + SMOOTHING) / total for p in pieces}
-        fitted[lang] = probability
-    logs = {p: np.log([fitted[x][p] for x in langs]) for p in pieces} if langs else {}
-    return SegmentationModel(langs, logs, longest)
+    probability = {p: 30.0 ** -len(p) * 10 ** (len(p) - 1) for p in pieces}
+    for _ in range(ROUNDS):
+        counts = _expected_counts(word_counts, probability, longest)
+        total = sum(counts.values()) + SMOOTHING * len(pieces)
+        probability = {p: (counts.get(p, 0.0) + SMOOTHING) / total for p in pieces}
+    return np.array([probability[p] for p in pieces])
+
+
+def _word_counts(sample: DataFrame, model: SegmentationModel | None) -> DataFrame:
+    """(label, word, n) over the paragraphs of a sample, of those that ``model`` gives their label."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            parts = [(label, words(p)) for label, text in zip(pdf["label"], pdf["text"]) for p in text.split("\n\n") if len(p) >= LEAST_CHARACTERS]
+            if model is not None and parts:
+                best = model.text_scores([found for _, found in parts]).argmax(1)
+                parts = [x for x, i in zip(parts, best) if model.languages[i] == x[0]]
+            counts = Counter((label, w) for label, found in parts for w in found if len(w) <= WORD_PART)
+            yield pd.DataFrame([(label, w, n) for (label, w), n in counts.items()], columns=["label", "word", "n"])
+
+    return sample.mapInPandas(count, "label string, word string, n bigint").groupBy("label", "word").agg(F.sum("n").alias("n"))
+
+
+def _fit(sample: DataFrame, pieces: list[str], model: SegmentationModel | None) -> SegmentationModel:
+    """One task for each language; of the model, as long as the vocabulary, the driver gets a row for each."""
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = pdf.sort_values("word")
+        return pd.DataFrame({"label": own["label"].iloc[:1], "logs": [np.log(fit_pieces(dict(zip(own["word"], own["n"])), pieces))]})
+
+    rows = {r["label"]: r["logs"] for r in _word_counts(sample, model).repartition(4 * len(LANGUAGES), "label").groupBy("label").applyInPandas(fit, "label string, logs array<double>").collect()}
+    langs = tuple(x for x in LANGUAGES if x in rows)
+    logs = np.array([rows[x] for x in langs]).T
+    return SegmentationModel(langs, dict(zip(pieces, logs)) if langs else {}, max(map(len, pieces), default=1))
 
 
 def fit_language_model(documents: DataFrame, path: str | None = None, most_texts: int = FIT_TEXTS, most_characters: int = FIT_CHARACTERS) -> SegmentationModel:
     """Fit on a bounded sample of labelled rows: about ``most_texts`` whole texts of each language,
     drawn by a hash of the id among those of up to ``most_characters``. Paragraphs whose own score
-    contradicts their label are left out of a second fit, as labels may be wrong."""
+    contradicts their label are left out of a second fit, as labels may be wrong. Without usable
+    labels the model has no language."""
     label = language_of_label(F.col("lang")).alias("label")
     usable = documents.filter(F.length("text").between(LEAST_CHARACTERS, most_characters))
     totals = {r["label"]: r["n"] for r in usable.groupBy(label).agg(F.count("*").alias("n")).collect() if r["label"]}
@@ -179,28 +204,11 @@ def fit_language_model(documents: DataFrame, path: str | None = None, most_texts
     drawn = F.lit(False)
     for lang, n in totals.items():
         drawn = drawn | ((F.col("label") == lang) & (draw < int(1_000_000 * min(1.0, most_texts / n))))
-    sample = usable.select("doc_id", label, "text").filter(drawn)
-    parts = [
-        (row["label"], words(part))
-        for row in sorted(sample.collect(), key=lambda r: (r["doc_id"], r["text"]))
-        for part in row["text"].split("\n\n")
-        if len(part) >= LEAST_CHARACTERS
-    ]
-    pieces = vocabulary(path)
-
-    def fit(chosen) -> SegmentationModel:
-        by: dict[str, Counter] = defaultdict(Counter)
-        for lang, found in chosen:
-            by[lang].update(found)
-        return fit_pieces(by, pieces)
-
-    model = fit(parts)
-    if not model.languages:
-        return model
-    best = model.text_scores([found for _, found in parts]).argmax(1)
-    agreed = [x for x, i in zip(parts, best) if model.languages[i] == x[0]]
-    model = fit(agreed or parts)
-    return model
+    sample = staged(usable.select("doc_id", label, "text").filter(drawn), "language-sample")
+    pieces = sorted(vocabulary(path))
+    model = _fit(sample, pieces, None)
+    better = _fit(sample, pieces, model) if model.languages else model
+    return better if better.languages else model
 
 
 _SEGMENTS = "doc_id bigint, label string, para_no int, characters int, lang string, confidence double, mixed boolean"
