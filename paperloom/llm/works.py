@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations, product
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -18,8 +20,12 @@ from paperloom.storage import staged
 DIFFERENT_WORDS, WORD_EDITS, TITLE_EDITS = 3, 2, 4
 #: Rare words that two titles must share to be compared.
 SHARED_WORDS = 3
-#: Words at the beginning that a cut title shares with the whole one.
-HEAD = 4
+#: Letters of a word, from its beginning, for each edit that it may have in a title of one or two words.
+LETTERS_AN_EDIT = 5
+#: Of so many words at the beginning of two titles, those that are a key; of more words, as of the most here.
+CHOSEN = {1: 1, 2: 2, 3: 2, 4: 2, 5: 3, 6: 3}
+#: Letters at the beginning of a word that go into a key which allows for edits.
+KEY_LETTERS = 6
 #: Trust in a record by a phrase of its notes, the first that is found; 1 for any other.
 TRUST = (("checked by hand", 3.0), ("metadata extracted", 1.5), ("Draft row", 0.8))
 #: Days in which a vote loses half of its weight.
@@ -55,7 +61,8 @@ def described(manifest: DataFrame) -> DataFrame:
     lower = F.regexp_replace(F.lower(F.trim("title")), _DECORATION, "")
     cut = lower.rlike(r"(?:\.\.\.|…)\s*$")
     words = F.regexp_extract_all(lower, F.lit(r"([\p{L}\p{N}]+)"), 1)
-    words = F.when(cut, F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words)
+    open_end = cut & ~lower.rlike(r"[^\p{L}\p{N}.…](?:\.{3,}|…)+\s*$")
+    words = F.when(open_end, F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words)
     from_file = F.trim("title") == F.trim(F.translate(stem, "_-", "  "))
     title = F.when(F.trim("title") != "", F.col("title"))
     words = F.when(title.isNotNull() & ~F.coalesce(from_file, F.lit(False)), words)
@@ -68,29 +75,78 @@ def described(manifest: DataFrame) -> DataFrame:
     ).withColumn("node", F.when(F.col("words").isNotNull(), F.xxhash64("evident_year", "words", "cut")))
 
 
-def _same_title(a: list[str], b: list[str], cut_a: bool, cut_b: bool) -> bool:
+def _title_edits(a: list[str], b: list[str], cut_a: bool, cut_b: bool) -> int | None:
+    """The edits between two titles of one work, or None if they are not; a cut one is compared as
+    far as it goes. Of titles of one or two words, only long words may differ."""
     if cut_a or cut_b:
         n = min(len(a), len(b))
-        if (cut_a and len(a) > len(b)) or (cut_b and len(b) > len(a)):
-            return False
+        if (cut_a and not cut_b and len(a) > len(b)) or (cut_b and not cut_a and len(b) > len(a)):
+            return None
         a, b = a[:n], b[:n]
     if len(a) == len(b):
         different = [(x, y) for x, y in zip(a, b) if x != y]
         if len(different) > DIFFERENT_WORDS:
-            return False
+            return None
         changes = [edits(x, y) for x, y in different]
-        return sum(changes) <= TITLE_EDITS and all(n <= WORD_EDITS for n in changes)
-    return abs(len(a) - len(b)) == 1 and edits("".join(a), "".join(b)) <= 2
+        if len(a) < 3 and any(n > max(len(x), len(y)) // LETTERS_AN_EDIT for n, (x, y) in zip(changes, different)):
+            return None
+        return sum(changes) if sum(changes) <= TITLE_EDITS and all(n <= WORD_EDITS for n in changes) else None
+    n = edits("".join(a), "".join(b)) if abs(len(a) - len(b)) == 1 else 3
+    return n if n <= 2 else None
+
+
+def _same_title(a: list[str], b: list[str], cut_a: bool, cut_b: bool) -> bool:
+    return _title_edits(a, b, cut_a, cut_b) is not None
+
+
+@cache
+def _least_edits(n: int) -> int:
+    """The edits that those ``CHOSEN`` words have which differ least, in n words at the beginning of two like titles."""
+    ways = (w for w in product(range(WORD_EDITS + 1), repeat=n) if sum(w) <= TITLE_EDITS and sum(map(bool, w)) <= DIFFERENT_WORDS)
+    return max(sum(sorted(w)[: CHOSEN[n]]) for w in ways)
+
+
+def _lessened(parts: list[str], most: int) -> set[tuple[str, ...]]:
+    """``parts`` without up to ``most`` letters in all, ``WORD_EDITS`` in one. Two lists of parts with no
+    more edits between them have one of these in common, also if all parts are cut to one length."""
+    found = [((), 0)]
+    for part in parts:
+        left = {k: {"".join(x) for x in combinations(part, len(part) - k)} for k in range(min(WORD_EDITS, most, len(part)) + 1)}
+        found = [((*done, x), n + k) for done, n in found for k in left if n + k <= most for x in left[k]]
+    return {done for done, _ in found}
+
+
+def _head_keys(words: list[str], n: int) -> set[str]:
+    """Keys of the first n words, of which titles that are alike in these have one in common."""
+    most = _least_edits(n)
+    keys = set()
+    for places in combinations(range(n), CHOSEN[n]):
+        chosen = [words[i][:KEY_LETTERS] if most else words[i] for i in places]
+        keys.update(f"{n} {places} {' '.join(x)}" for x in _lessened(chosen, most))
+    return keys
+
+
+def _with_head_keys(heads: DataFrame) -> DataFrame:
+    """(node, n, key) of (node, evident_year, words, n)."""
+
+    def keyed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            keys = [sorted(_head_keys(list(w), n)) for w, n in zip(pdf["words"], pdf["n"])]
+            yield pdf[["node", "evident_year", "n"]].assign(key=keys).explode("key").dropna()
+
+    keys = heads.select("node", "evident_year", "words", F.col("n").cast("int").alias("n")).mapInPandas(keyed, "node bigint, evident_year int, n int, key string")
+    return keys.select("node", "n", F.xxhash64("evident_year", "key").alias("key"))
 
 
 def title_links(nodes: DataFrame) -> DataFrame:
-    """(a, b) of titles of one year that differ by misspelling, or of which one is cut off.
+    """(a, b) of whole titles of one year that differ by misspelling.
 
     Titles that differ in at most ``DIFFERENT_WORDS`` words share ``SHARED_WORDS`` of their
     ``DIFFERENT_WORDS + SHARED_WORDS`` rarest ones, so every choice of so many of these is a key of
-    the join; cut titles are joined by their first words. What differs in more words or letters is
-    dropped before titles are compared by word. Titles of fewer words are linked if equal only.
+    the join. What differs in more words or letters is dropped before titles are compared by word.
+    Titles of fewer words are linked if equal only.
     """
+    nodes = nodes.filter(~F.col("cut"))
     each = nodes.select("node", "evident_year", F.explode(F.array_distinct("words")).alias("word"))
     often = each.groupBy("evident_year", "word").agg(F.count("*").alias("df"))
     ranked = each.join(often, ["evident_year", "word"]).withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("df", "word")))
@@ -100,22 +156,79 @@ def title_links(nodes: DataFrame) -> DataFrame:
     keys = rarest.select("node", F.explode(choices).alias("key"))
     key_a, key_b = (keys.select("key", F.col("node").alias(x)) for x in "ab")
     found = key_a.join(key_b, "key").filter("a < b").select("a", "b").distinct()
-    sides = [nodes.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}"), F.col("cut").alias(f"cut_{x}")) for x in "ab"]
-    described = lambda pairs: pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "words_a", "words_b", "cut_a", "cut_b")
     by_place = F.filter(F.zip_with("words_a", "words_b", lambda x, y: F.when(x != y, F.levenshtein(x, y))), lambda n: n.isNotNull())
     even = (F.size("words_a") == F.size("words_b")) & (F.size(by_place) <= DIFFERENT_WORDS) & (F.coalesce(F.array_max(by_place), F.lit(0)) <= 2 * WORD_EDITS)
     one_more = F.abs(F.size("words_a") - F.size("words_b")) == 1
     uneven = one_more & F.levenshtein(F.array_join("words_a", ""), F.array_join("words_b", ""), 2 * WORD_EDITS).between(0, 2 * WORD_EDITS)
-    whole = described(found).filter(~F.col("cut_a") & ~F.col("cut_b") & (even | uneven))
-    heads = nodes.select("node", "cut", F.xxhash64("evident_year", F.slice("words", 1, HEAD)).alias("key"))
-    cut = heads.filter("cut").select("key", F.col("node").alias("a")).join(heads.select("key", F.col("node").alias("b")), "key").filter("a <> b").select("a", "b")
+    return _judged(_described(found, nodes).filter(even | uneven)).select("a", "b")
+
+
+def _described(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    for x in "ab":
+        pairs = pairs.join(nodes.select(F.col("node").alias(x), F.col("words").alias(f"words_{x}"), F.col("cut").alias(f"cut_{x}")), x)
+    return pairs.select("a", "b", "words_a", "words_b", "cut_a", "cut_b")
+
+
+def _judged(pairs: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, cut_b, edits) of the pairs that are titles of one work; n_a and n_b are their words."""
 
     def judge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            same = [_same_title(list(x), list(y), cx, cy) for x, y, cx, cy in zip(pdf["words_a"], pdf["words_b"], pdf["cut_a"], pdf["cut_b"])]
-            yield pdf.loc[same, ["a", "b"]]
+            found = [_title_edits(list(x), list(y), cx, cy) for x, y, cx, cy in zip(pdf["words_a"], pdf["words_b"], pdf["cut_a"], pdf["cut_b"])]
+            same = [n is not None for n in found]
+            sizes = {f"n_{x}": pdf[f"words_{x}"].map(len).astype("int32") for x in "ab"}
+            yield pdf[["a", "b", "cut_b"]].assign(**sizes, edits=[n or 0 for n in found]).loc[same, ["a", "b", "n_a", "n_b", "cut_b", "edits"]]
+
+    return pairs.mapInPandas(judge, "a bigint, b bigint, n_a int, n_b int, cut_b boolean, edits int")
+
+
+def cut_links(nodes: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, cut_b, edits) of the cut titles and those of their year, whole or cut, that go
+    on as far or farther and are alike in the words of ``a``.
+
+    Both have a key of their first words in common, of six at most; words may be misspelt in it.
+    """
+    most = max(CHOSEN)
+    size = F.size("words")
+    asked = nodes.filter("cut").select("evident_year", F.least(size, F.lit(most)).alias("n")).distinct()
+    keys = staged(_with_head_keys(nodes.join(asked, "evident_year").filter(size >= F.col("n"))), "title-heads")
+    own = nodes.filter("cut").select("node", F.least(size, F.lit(most)).alias("n"))
+    asking = keys.join(own, ["node", "n"]).select("key", F.col("node").alias("a"))
+    pairs = asking.join(keys.select("key", F.col("node").alias("b")), "key").filter("a <> b").select("a", "b").distinct()
+    head_b = F.slice("words_b", 1, F.size("words_a"))
+    by_place = F.filter(F.zip_with("words_a", head_b, lambda x, y: F.when(x != y, F.levenshtein(x, y))), lambda n: n.isNotNull())
+    alike = (F.size(by_place) <= DIFFERENT_WORDS) & (F.coalesce(F.array_max(by_place), F.lit(0)) <= 2 * WORD_EDITS)
+    return _judged(_described(pairs, nodes).filter((F.size("words_b") >= F.size("words_a")) & alike))
 
-    return whole.union(described(cut)).mapInPandas(judge, "a bigint, b bigint")
+
+def title_clusters(nodes: DataFrame) -> DataFrame:
+    """(node, cluster) of all titles. Whole titles are one cluster with all they are linked to.
+
+    A cut title never makes one cluster of two: it joins that of the whole titles which differ from
+    it in the fewest edits, and stays by itself if these are of several works. Cut titles that fit no
+    whole title join each other: those of as many words all, a shorter one the longer one that is the
+    nearest; and one that is like a cut title with a whole one goes with it.
+    """
+    cut = staged(cut_links(nodes), "cut-links")
+    fitting = cut.filter("not cut_b").select(F.col("a").alias("node")).distinct()
+    among = cut.filter("cut_b").join(fitting.withColumnRenamed("node", "a"), "a", "left_anti")
+    apart = among.join(fitting.withColumnRenamed("node", "b"), "b", "left_anti")
+    nearest = apart.filter("n_b > n_a").groupBy("a").agg(F.min_by("b", F.struct("edits", "n_b", "b")).alias("b"))
+    links = title_links(nodes).union(apart.filter("n_a = n_b").select("a", "b")).union(nearest.select("a", "b"))
+    cluster = components(links).select("node", F.col("component").alias("cluster"))
+    cluster = staged(nodes.select("node").join(cluster, "node", "left").select("node", F.coalesce("cluster", "node").alias("cluster")), "title-clusters")
+
+    def moved(pairs: DataFrame, to: DataFrame, cluster_of: DataFrame) -> DataFrame:
+        """(cluster, to): of each cluster of cut titles, the one cluster that its members fit best."""
+        each = pairs.join(to.select(F.col("node").alias("b"), F.col("cluster").alias("to")), "b").join(cluster_of.select(F.col("node").alias("a"), "cluster"), "a")
+        best = each.groupBy("cluster", "edits").agg(F.min("to").alias("to"), F.max("to").alias("other"))
+        best = best.groupBy("cluster").agg(F.min_by(F.struct("to", "other"), "edits").alias("best"))
+        return best.filter("best.to = best.other").select("cluster", F.col("best.to").alias("to"))
+
+    placed = cluster.join(moved(cut.filter("not cut_b"), cluster, cluster), "cluster", "left").select("node", F.coalesce("to", "cluster").alias("cluster"))
+    placed = staged(placed, "cut-clusters")
+    with_whole = placed.join(fitting, "node")
+    return placed.join(moved(among, with_whole, placed), "cluster", "left").select("node", F.coalesce("to", "cluster").alias("cluster"))
 
 
 def with_work(manifest: DataFrame) -> DataFrame:
@@ -129,8 +242,7 @@ def with_work(manifest: DataFrame) -> DataFrame:
     rows = staged(described(manifest), "works")
     titled = rows.filter(F.col("node").isNotNull())
     nodes = staged(titled.groupBy("node").agg(F.first("evident_year").alias("evident_year"), F.first("words").alias("words"), F.first("cut").alias("cut")), "titles")
-    cluster = components(title_links(nodes)).select("node", F.col("component").alias("cluster"))
-    cluster = staged(nodes.select("node").join(cluster, "node", "left").select("node", F.coalesce("cluster", "node").alias("cluster")), "title-clusters")
+    cluster = title_clusters(nodes)
     rows = staged(salted_join(rows.drop("words"), cluster, ["node"], "row_id", "left"), "work-rows")
     marks = ["node", "source_key", "examiner_key"]
     known = rows.filter(F.col("doi").isNotNull() & F.col("cluster").isNotNull()).groupBy("cluster", "doi", *marks).agg(F.count("*").alias("n"))

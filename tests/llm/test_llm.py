@@ -158,6 +158,46 @@ def test_works(spark):
     assert works.survivors(empty).count() == 0
 
 
+def groups_of_titles(spark, titles):
+    rows = works.with_work(works_table(spark, [(i, f"f{i} 2020.pdf", "", t, "2020", "", "", "", "2024-01-01") for i, t in enumerate(titles)]))
+    groups = defaultdict(set)
+    for r in rows.collect():
+        groups[r["work"]].add(r["row_id"])
+    return sorted(map(sorted, groups.values()))
+
+
+def test_cut_titles(spark):
+    titles = [
+        "Seasoanl balancing measures in Lilbraldri: a survey", "Seasonal balancing measures in Lilbraldri: a su...",
+        "Household energy tariffs of Kolm", "Houshold energy tariffs…",
+        "Flexible inverters and …", "Flexible inverters and storage", "Thermal networks of Pemidil", "Thermal refurbishment of Kunenu", "Thermal refur...",
+        "Solar cooling of barns...", "Solar coling of barns in Ferl...",
+    ]
+    assert groups_of_titles(spark, titles) == [[0, 1], [2, 3], [4, 5], [6], [7], [8], [9, 10]]
+
+
+def test_head_keys_lose_no_pair():
+    rng = random.Random(4)
+    words = ["in", "of", "a", "grid", "tariff", "household", "balancing", "networks", "refurbishment"]
+
+    def misspelt(word):
+        i = rng.randrange(len(word) + 1)
+        return rng.choice([word[:i] + "x" + word[i:], word[:i] + word[i + 1 :], word[:i] + "x" + word[i + 1 :], word[: max(i - 1, 0)] + word[i : i + 1] + word[max(i - 1, 0) : i] + word[i + 1 :]]) or "x"
+
+    checked = Counter()
+    for _ in range(2000):
+        n = rng.randrange(1, 8)
+        a = [rng.choice(words) for _ in range(n)]
+        b = list(a)
+        for _ in range(rng.randrange(5)):
+            i = rng.randrange(n)
+            b[i] = misspelt(b[i])
+        if works._same_title(a, [*b, "more"], True, False):
+            checked[n] += a != b
+            assert works._head_keys(a, min(n, 6)) & works._head_keys([*b, "more"], min(n, 6)), (a, b)
+    assert min(checked[n] for n in range(1, 8)) > 20
+
+
 def test_votes_against_brute_force(spark):
     rng = random.Random(3)
     rows = [(i, f"f{i}", "", rng.choice(["A title", "a TITLE!", "Other", ""]), rng.choice(["2001", "2002", "x", ""]), f"10.1234/{i % 3}", "", rng.choice(["checked by hand", "", "Draft row"]), f"2024-0{rng.randrange(1, 9)}-11") for i in range(40)]
