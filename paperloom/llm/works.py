@@ -24,8 +24,10 @@ SHARED_WORDS = 3
 LETTERS_AN_EDIT = 5
 #: Of so many words at the beginning of two titles, those that are a key; of more words, as of the most here.
 CHOSEN = {1: 1, 2: 2, 3: 2, 4: 2, 5: 3, 6: 3}
-#: Letters at the beginning of a word that go into a key which allows for edits.
-KEY_LETTERS = 6
+#: Letters at the beginning of a word, and at each end of a title without blanks, that go into a key which allows for edits.
+KEY_LETTERS, END_LETTERS = 6, 7
+#: Edits between two titles of which one has a word more.
+JOINED_EDITS = 2
 #: Trust in a record by a phrase of its notes, the first that is found; 1 for any other.
 TRUST = (("checked by hand", 3.0), ("metadata extracted", 1.5), ("Draft row", 0.8))
 #: Days in which a vote loses half of its weight.
@@ -91,8 +93,11 @@ def _title_edits(a: list[str], b: list[str], cut_a: bool, cut_b: bool) -> int |
         if len(a) < 3 and any(n > max(len(x), len(y)) // LETTERS_AN_EDIT for n, (x, y) in zip(changes, different)):
             return None
         return sum(changes) if sum(changes) <= TITLE_EDITS and all(n <= WORD_EDITS for n in changes) else None
-    n = edits("".join(a), "".join(b)) if abs(len(a) - len(b)) == 1 else 3
-    return n if n <= 2 else None
+    if abs(len(a) - len(b)) != 1:
+        return None
+    n = edits("".join(a), "".join(b))
+    most = JOINED_EDITS if min(len(a), len(b)) > 2 else min(JOINED_EDITS, min(len("".join(a)), len("".join(b))) // LETTERS_AN_EDIT)
+    return n if n <= most else None
 
 
 def _same_title(a: list[str], b: list[str], cut_a: bool, cut_b: bool) -> bool:
@@ -126,6 +131,16 @@ def _head_keys(words: list[str], n: int) -> set[str]:
     return keys
 
 
+def _joined_keys(words: list[str]) -> set[str]:
+    """Keys of the title without blanks, of which two titles with up to ``JOINED_EDITS`` edits between
+    these have one in common: of its both ends, or of all of it if it is short."""
+    text = "".join(words)
+    least = 2 * (END_LETTERS + JOINED_EDITS)
+    parts = [[text]] if len(text) < least + JOINED_EDITS else []
+    parts += [[text[:END_LETTERS], text[-END_LETTERS:]]] if len(text) >= least else []
+    return {" ".join(x) for p in parts for x in _lessened(p, JOINED_EDITS)}
+
+
 def _with_head_keys(heads: DataFrame) -> DataFrame:
     """(node, n, key) of (node, evident_year, words, n)."""
 
@@ -141,25 +156,39 @@ def _with_head_keys(heads: DataFrame) -> DataFrame:
 def title_links(nodes: DataFrame) -> DataFrame:
     """(a, b) of whole titles of one year that differ by misspelling.
 
-    Titles that differ in at most ``DIFFERENT_WORDS`` words share ``SHARED_WORDS`` of their
+    Titles of one length that differ in at most ``DIFFERENT_WORDS`` words share ``SHARED_WORDS`` of their
     ``DIFFERENT_WORDS + SHARED_WORDS`` rarest ones, so every choice of so many of these is a key of
-    the join. What differs in more words or letters is dropped before titles are compared by word.
-    Titles of fewer words are linked if equal only.
+    the join. Those of fewer different words may share less and have keys of misspelt words besides,
+    and those of which one has a word more have keys of their letters. What differs in more words or
+    letters is dropped before titles are compared by word.
     """
     nodes = nodes.filter(~F.col("cut"))
+    size = F.size("words")
+    few = F.size(F.array_distinct("words")) < DIFFERENT_WORDS + SHARED_WORDS
+    short = _with_head_keys(nodes.filter(few).withColumn("n", F.least(size, F.lit(max(CHOSEN)))))
+    short = short.join(nodes.select("node", size.alias("size")), "node").select("node", F.xxhash64("key", "size").alias("key"))
+
+    def joined(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            keys = [sorted(_joined_keys(list(w))) for w in pdf["words"]]
+            yield pdf[["node", "evident_year", "odd"]].assign(key=keys).explode("key").dropna()
+
+    ends = nodes.select("node", "evident_year", "words", (size % 2 == 1).alias("odd")).mapInPandas(joined, "node bigint, evident_year int, odd boolean, key string")
+    ends = staged(ends.select("node", "odd", F.xxhash64("evident_year", "key").alias("key")), "title-ends")
+    odd, other = (ends.filter(c).select("key", F.col("node").alias(x)) for c, x in ((F.col("odd"), "a"), (~F.col("odd"), "b")))
+    one_more = odd.join(other, "key").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     each = nodes.select("node", "evident_year", F.explode(F.array_distinct("words")).alias("word"))
     often = each.groupBy("evident_year", "word").agg(F.count("*").alias("df"))
     ranked = each.join(often, ["evident_year", "word"]).withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("df", "word")))
     rarest = ranked.filter(F.col("rank") <= DIFFERENT_WORDS + SHARED_WORDS).groupBy("node", "evident_year").agg(F.sort_array(F.collect_list("word")).alias("rarest"))
     after = lambda x: F.filter("rarest", lambda y: y > x)
     choices = F.flatten(F.flatten(F.transform("rarest", lambda x: F.transform(after(x), lambda y: F.transform(after(y), lambda z: F.xxhash64("evident_year", x, y, z))))))
-    keys = rarest.select("node", F.explode(choices).alias("key"))
+    keys = staged(rarest.select("node", F.explode(choices).alias("key")).union(short), "title-keys")
     key_a, key_b = (keys.select("key", F.col("node").alias(x)) for x in "ab")
-    found = key_a.join(key_b, "key").filter("a < b").select("a", "b").distinct()
+    found = key_a.join(key_b, "key").filter("a < b").select("a", "b").union(one_more).distinct()
     by_place = F.filter(F.zip_with("words_a", "words_b", lambda x, y: F.when(x != y, F.levenshtein(x, y))), lambda n: n.isNotNull())
     even = (F.size("words_a") == F.size("words_b")) & (F.size(by_place) <= DIFFERENT_WORDS) & (F.coalesce(F.array_max(by_place), F.lit(0)) <= 2 * WORD_EDITS)
-    one_more = F.abs(F.size("words_a") - F.size("words_b")) == 1
-    uneven = one_more & F.levenshtein(F.array_join("words_a", ""), F.array_join("words_b", ""), 2 * WORD_EDITS).between(0, 2 * WORD_EDITS)
+    uneven = (F.abs(F.size("words_a") - F.size("words_b")) == 1) & F.levenshtein(F.array_join("words_a", ""), F.array_join("words_b", ""), 2 * JOINED_EDITS).between(0, 2 * JOINED_EDITS)
     return _judged(_described(found, nodes).filter(even | uneven)).select("a", "b")
 
 

@@ -198,6 +198,29 @@ def test_head_keys_lose_no_pair():
     assert min(checked[n] for n in range(1, 8)) > 20
 
 
+def test_short_titles(spark):
+    titles = [
+        "Household energy tariffs", "Houshold energy tariffs", "Houshold enregy tarifs",
+        "Rural heat networks today", "Ruraal heat netwroks todya", "Ruralheat networks today",
+        "Shared storage of rural households", "Shared sotrage of rurall househods",
+        "Tariffs", "Tarifs", "Heat", "Seat", "Refurbishment markets", "Refurbishmnet makrets", "Wind law", "Wine law",
+        "Refurbishmentmarkets",
+        "Thermal balancing of solar markets in Kunenu", "Thermalbalancing of solr markets in Kunenuu",
+    ]
+    assert groups_of_titles(spark, titles) == [[0, 1, 2], [3, 4, 5], [6, 7], [8, 9], [10], [11], [12, 13, 16], [14], [15], [17, 18]]
+
+
+def test_joined_keys_lose_no_pair():
+    rng = random.Random(6)
+    for _ in range(3000):
+        a = b = "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 30)))
+        for _ in range(2):
+            i = rng.randrange(len(b) + 1)
+            b = rng.choice([b[:i] + "x" + b[i:], b[:i] + b[i + 1 :], b[:i] + "x" + b[i + 1 :], b[:i] + b[i + 1 : i + 2] + b[i : i + 1] + b[i + 2 :]]) or "x"
+        if names.edits(a, b) <= works.JOINED_EDITS:
+            assert works._joined_keys([a]) & works._joined_keys([b]), (a, b)
+
+
 def test_votes_against_brute_force(spark):
     rng = random.Random(3)
     rows = [(i, f"f{i}", "", rng.choice(["A title", "a TITLE!", "Other", ""]), rng.choice(["2001", "2002", "x", ""]), f"10.1234/{i % 3}", "", rng.choice(["checked by hand", "", "Draft row"]), f"2024-0{rng.randrange(1, 9)}-11") for i in range(40)]
