@@ -24,8 +24,6 @@ LEAST_SHARED, Q = 1 / 3, 3
 #: Soft similarity from which forms are linked, and edits allowed between them.
 LEAST_SIMILARITY = 0.75
 MOST_EDITS = {"person": 2, "journal": 4}
-#: Forms as frequent as this are not held for misspellings of each other if one isn't rarer.
-FREQUENT, RARER = 8, 0.4
 
 # fixed values: academic titles, words without meaning in a journal's name, marks of an edition
 TITLES = ("dipl", "dr", "ing", "mag", "mba", "msc", "phd", "prof")
@@ -211,20 +209,20 @@ def links(spelled: DataFrame, forms: DataFrame, kinds: dict[str, str]) -> DataFr
     totals = {r["field"]: r["n"] for r in forms.groupBy("field").agg(F.count("*").alias("n")).collect()}
     facts = forms.select("field", "id", F.explode(F.array_distinct(F.split("form", " "))).alias("token")).join(token_facts(spelled), ["field", "token"])
     facts = facts.groupBy("id").agg(F.collect_list(F.struct("token", "df", "given")).alias("facts"))
-    facts = staged(forms.join(facts, "id").select("id", "form", "n", "facts"), "name-facts")
+    facts = staged(forms.join(facts, "id").select("id", "form", "facts"), "name-facts")
 
     def judge(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             rows = []
-            for field, a, b, fa, fb, na, nb, ta, tb in pdf.itertuples(index=False):
+            for field, a, b, fa, fb, ta, tb in pdf.itertuples(index=False):
                 known = {t["token"]: (1 + math.log(totals[field] / t["df"]), t["given"]) for t in (*ta, *tb)}
                 score, shortened = similarity(fa, fb, known, kinds[field])
-                if score >= LEAST_SIMILARITY and not (not shortened and min(na, nb) >= FREQUENT and min(na, nb) > RARER * max(na, nb)):
+                if score >= LEAST_SIMILARITY:
                     rows.append((field, a, b, score, shortened))
             yield pd.DataFrame(rows, columns=["field", "a", "b", "score", "shortened"])
 
-    sides = [facts.select(F.col("id").alias(x), F.col("form").alias(f"form_{x}"), F.col("n").alias(f"n_{x}"), F.col("facts").alias(f"facts_{x}")) for x in "ab"]
-    full = candidates(forms).join(sides[0], "a").join(sides[1], "b").select("field", "a", "b", "form_a", "form_b", "n_a", "n_b", "facts_a", "facts_b")
+    sides = [facts.select(F.col("id").alias(x), F.col("form").alias(f"form_{x}"), F.col("facts").alias(f"facts_{x}")) for x in "ab"]
+    full = candidates(forms).join(sides[0], "a").join(sides[1], "b").select("field", "a", "b", "form_a", "form_b", "facts_a", "facts_b")
     return full.repartition("a", "b").mapInPandas(judge, "field string, a bigint, b bigint, score double, shortened boolean")
 
 

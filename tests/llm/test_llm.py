@@ -279,6 +279,14 @@ def test_names(spark):
     assert names.name_entities(df.limit(0), {"e": "person", "s": "journal"}).count() == 0
 
 
+@pytest.mark.parametrize("times", [1, 10])
+def test_links_do_not_depend_on_size(spark, times):
+    counts = {"Jürgena Halbaflal": 5, "Juergena Halbaflal": 3, "Cornelia Sekenu": 4}
+    df = spark.createDataFrame([("e", s) for s, n in counts.items() for _ in range(n * times)], "field string, spelling string")
+    pairs = names.spelling_pairs(names.name_entities(df, {"e": "person"}))
+    assert [tuple(r) for r in pairs.collect()] == [("e", "Juergena Halbaflal", "Jürgena Halbaflal")]
+
+
 def test_prefix_filter_loses_no_pair(spark):
     rng = random.Random(9)
     syllables = ["bra", "lil", "kor", "mu", "sten", "fa", "gre", "no"]
