@@ -23,8 +23,6 @@ COMMANDS = {
     "query": "Search the vector index.",
     "run-all": "All stages from init-data to export-llm.",
 }
-#: Warnings that are printed; all are in the reports.
-SHOWN_WARNINGS = 200
 
 
 def parser() -> argparse.ArgumentParser:
@@ -48,8 +46,6 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     extra = {"init-data": lambda: {"force_manifest": asked.force_manifest}, "query": lambda: {"question": asked.question, "n_results": asked.n_results}}
     done = stage(**extra.get(asked.command, dict)())
     print(*done.messages, sep="\n")
-    for row in done.warnings.limit(SHOWN_WARNINGS).collect() if done.warnings is not None else []:
-        print(f"Warning: {row[0]}: {row[1]}")
     return 0
 
 

@@ -63,6 +63,14 @@ class Corpus:
     def _chunks(self) -> DataFrame:
         return readers.read_chunks(self.spark, self._at("chunks_jsonl"))
 
+    def _with_warnings(self, stage: str, done: Result) -> Result:
+        """Writes all warnings of a stage into a folder of its own and adds their number and path to the messages."""
+        if done.warnings is not None:
+            path = f"{self._at('reports_dir')}/warnings/{stage}"
+            n = writers.write_warnings(done.warnings, path)
+            done.messages.append(f"Warnings: {n}, in {path}")
+        return done
+
     def init_data(self, force_manifest: bool = False) -> Result:
         done = Result([f"Ensured {writers.make_folder(self.spark, self._at(f))}" for f in FOLDERS])
         path = self._at("manifest_path")
@@ -96,7 +104,7 @@ class Corpus:
         gone = rows.filter("state = 'missing'").select("filename", F.lit("Manifest PDF not found in raw folder").alias("warning"))
         counts = {r["state"]: r["n"] for r in rows.groupBy("state").agg(F.count("*").alias("n")).collect()}
         messages = [f"Manifest rows {state}: {n}" for state, n in sorted(counts.items())]
-        return Result([*messages, f"Manifest updated: {path}"], notes.unionByName(gone), rows)
+        return self._with_warnings("scan_pdfs", Result([*messages, f"Manifest updated: {path}"], notes.unionByName(gone), rows))
 
     def validate_manifest(self) -> Result:
         self.init_data()
@@ -106,7 +114,7 @@ class Corpus:
         path = f"{self._at('processed_dir')}/manifest_enriched.csv"
         writers.write_enriched(rows, path)
         notes = rows.select(F.coalesce(F.nullif("filename", F.lit("")), F.lit("<blank>")).alias("filename"), F.explode(F.split("validation_warnings", "; ")).alias("warning")).filter("warning <> ''")
-        return Result([*([] if any_files else [NO_FILES]), f"Saved enriched manifest: {path}"], notes if any_files else None, rows)
+        return self._with_warnings("validate_manifest", Result([*([] if any_files else [NO_FILES]), f"Saved enriched manifest: {path}"], notes if any_files else None, rows))
 
     def preflight_pdfs(self) -> Result:
         files = self._files()
@@ -119,7 +127,7 @@ class Corpus:
         notes = preflight.warnings(parts, F.array_compact(F.array("error")))
         rows = staged(rows.select(*[c for c in rows.columns if c not in ("f", "error")], *[F.coalesce(F.col(f"f.{c}"), F.lit("")).alias(f"extracted_{c}") for c in ("year", "title", "doi", "source")], notes.alias("warnings")), "preflight")
         writers.write_report(render.preflight_report(rows), f"{self._at('reports_dir')}/preflight")
-        return Result([f"Preflight checked {rows.count()} PDFs."], rows.select("filename", F.explode("warnings").alias("warning")), rows)
+        return self._with_warnings("preflight_pdfs", Result([f"Preflight checked {rows.count()} PDFs."], rows.select("filename", F.explode("warnings").alias("warning")), rows))
 
     def process(self) -> Result:
         done = self.validate_manifest()
@@ -164,7 +172,7 @@ class Corpus:
         unread = failed.select("filename", F.explode(F.concat(F.array(F.lit("no converter succeeded")), "warnings")).alias("warning"))
         done.messages.append(f"Processed {last.count()} papers")
         done.warnings = unread if done.warnings is None else done.warnings.unionByName(unread)
-        return done
+        return self._with_warnings("process", done)
 
     def _current_ids(self) -> DataFrame:
         rows = self._manifest().filter("filename <> ''")

@@ -100,6 +100,12 @@ def write_report(lines: DataFrame, folder: str) -> None:
     lines.repartition("report").sortWithinPartitions("report", "place").select("report", "line").write.mode("overwrite").partitionBy("report").text(folder)
 
 
+def write_warnings(notes: DataFrame, folder: str) -> int:
+    """(item, warning) as JSON lines, a folder of parts; returns their number."""
+    notes.toDF("item", "warning").write.mode("overwrite").json(folder)
+    return notes.sparkSession.read.schema("item string, warning string").json(folder).count()
+
+
 def clear_generated(spark: SparkSession, folders: dict[str, str]) -> list[str]:
     """Delete the files of each folder that end with its suffix; returns warnings for those that can't be."""
     notes = []

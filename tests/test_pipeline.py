@@ -73,6 +73,16 @@ def test_run_all(corpus):
     assert "# LLM Examiner Pack: Ann Lee" in pack and "```text" in pack and "- Section: Abstract" in pack
 
 
+def test_all_warnings_are_written(corpus):
+    made, done, root = corpus
+    written = set()
+    for stage in ("scan_pdfs", "process"):
+        folder = Path(made.config.path("reports_dir")) / "warnings" / stage
+        written |= {(r["item"], r["warning"]) for p in folder.glob("part-*") for r in map(json.loads, p.read_text().splitlines())}
+        assert any(stage in m and m.startswith("Warnings: ") for m in done.messages)
+    assert written == {tuple(r) for r in done.warnings.collect()} and ("Bob/same.pdf", "no converter succeeded") in written
+
+
 def test_rescan_keeps_and_stale_papers_are_left_out(corpus):
     made, _, root = corpus
     before = made._chunks().count()
