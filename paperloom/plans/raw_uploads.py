@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paperloom.operators import rowparse
 
@@ -15,7 +16,12 @@ def p5_valid_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rowparse.valid_rows(rowparse.parse_rows(spark.read.parquet(f"{folder}/manifest_raw.parquet")))
 
 
-QUERIES = {f.__name__: f for f in (p5_found, p5_valid_rows)}
+def p5_broken_fields(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = rowparse.parse_rows(spark.read.parquet(f"{folder}/manifest_raw.parquet"))
+    return parsed.filter(F.size("reasons") > 0).select("line_id", F.array_join("reasons", ",").alias("reasons"), "broken_field")
+
+
+QUERIES = {f.__name__: f for f in (p5_found, p5_valid_rows, p5_broken_fields)}
 
 _FIELD = '("[^"]*(?:""[^"]*)*"|[^",][^",]*|)'
 _PARSED = f"""

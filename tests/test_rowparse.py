@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from paperloom.operators import rowparse
+from paperloom.plans import raw_uploads
 
 PIECES = ['"', '""', ",", "a", " ", "2001", "10.1234/x", "\n", "\r", "﻿", "b,c", '"q"', "1499", '"2001"', "x y"]
 
@@ -82,6 +83,13 @@ def test_broken_field(spark):
     assert [x[2] for x in parsed(spark, raws)] == [3, 4, 4, 8, 5]
 
 
+def test_query_of_broken_fields(spark, tmp_path):
+    raws = ['a,b,"c" d,2001,,s,n', "a,b,c,1,2,s,n", "a,b,c,2001,,s,n"]
+    spark.createDataFrame(list(enumerate(raws)), "line_id long, raw_line string").write.parquet(str(tmp_path / "manifest_raw.parquet"))
+    got = raw_uploads.QUERIES["p5_broken_fields"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [(0, "quoting", 3), (1, "year,doi", 4)]
+
+
 def test_null_empty_long_many_quotes_repeated(spark):
     long = "x" * 300_000
     raws = [None, "", f"{long},b,c,2001,,s,n", 'a,b,"' + '""' * 60_000 + '",2001,,s,n', '"' * 5001, "a,b,c,2001,,s,n", "a,b,c,2001,,s,n"]
