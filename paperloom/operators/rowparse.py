@@ -6,23 +6,18 @@ patterns of ever more leading fields, which show the first field that is broken,
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A regular expression engine that repeats by recursion must not meet more quotes in one record;
-#: records with more are matched by another engine with the same patterns.
-MOST_QUOTES = 200
+from paperloom.functions.unicode import SPACES
 
 
 @dataclass(frozen=True)
 class FieldRule:
     """A column of the upload. ``pattern``, if given, is what its value without outer blanks must
-    match when it isn't empty."""
+    match when it isn't empty; ``\\S`` in it is any character but a blank."""
 
     name: str
     pattern: str | None = None
@@ -39,28 +34,36 @@ MANIFEST_RULES = (
     FieldRule("notes"),
 )
 
-_BLANKS = r"[\s\u00a0]*"
+_BLANK = "".join(rf"\u{ord(c):04x}" for c in SPACES)
+# possessive throughout, so that no pattern tries a field in two ways, whatever its length
 _QUOTED, _PLAIN = r'"[^"]*+(?:""[^"]*+)*+"', r'(?!")[^",]*+'
 _ANY = f"(?:{_QUOTED}|{_PLAIN})"
+_END = r"(?:,|\z)"
 
 
 def _field(rule: FieldRule) -> str:
+    """What a valid field looks like in a record, quoted or not."""
     if rule.pattern is None:
-        return f"({_QUOTED}|{_PLAIN})"
-    inner = f"{_BLANKS}(?:{rule.pattern})?{_BLANKS}"
-    quoted, plain = (inner.replace(r"\S", rf'[^\s"{more}]') for more in ("", ","))
-    return f'("{quoted}"|(?!"){plain})'
+        return f"{_QUOTED}|{_PLAIN}"
+    quoted = rule.pattern.replace(r"\S+", rf'(?:[^{_BLANK}"]|"")[^{_BLANK}"]*+(?:""[^{_BLANK}"]*+)*+').replace(r"\S", rf'(?:[^{_BLANK}"]|"")')
+    plain = rule.pattern.replace(r"\S", rf'[^{_BLANK}",]')
+    return f'"[{_BLANK}]*+(?:{quoted})?[{_BLANK}]*+"|(?!")[{_BLANK}]*+(?:{plain})?[{_BLANK}]*+(?=[,]|\\z)'
 
 
 def row_pattern(rules: tuple[FieldRule, ...]) -> str:
-    """The anchored pattern of a whole valid row, a group for each field. Values that hold quotes
-    or, without being quoted, commas are left to the patterns of single fields."""
-    return r"\A" + ",".join(map(_field, rules)) + r"\z"
+    """The anchored pattern of a whole valid row, a group for each field."""
+    return r"\A" + ",".join(f"({_field(r)})" for r in rules) + r"\z"
 
 
 def prefix_patterns(rules: tuple[FieldRule, ...]) -> list[str]:
     """For each k from 1, the anchored pattern of a record that begins with k well-formed fields."""
-    return [r"\A" + ",".join([_ANY] * k) + r"(?:,|\z)" for k in range(1, len(rules) + 1)]
+    return [r"\A" + ",".join([_ANY] * k) + _END for k in range(1, len(rules) + 1)]
+
+
+def value_patterns(rules: tuple[FieldRule, ...]) -> dict[str, str]:
+    """For each field with a rule, the anchored pattern of a record that begins with well-formed
+    fields and keeps the rule in this one."""
+    return {r.name: r"\A" + ",".join([*[_ANY] * i, f"(?:{_field(r)})"]) + _END for i, r in enumerate(rules) if r.pattern}
 
 
 def _record(raw: Column) -> Column:
@@ -72,78 +75,44 @@ def _value(field: Column) -> Column:
     return F.when(quoted, F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))).otherwise(field)
 
 
-def _parse_by_other_engine(rules: tuple[FieldRule, ...]):
-    """The parse of a pandas Series of records, for those with very many quotes."""
-    names = [r.name for r in rules]
-    python = lambda p: re.compile(p.replace(r"\z", r"\Z"))
-    any_field, whole = python(_ANY), python(r"\A" + _ANY + "(?:," + _ANY + r")*+\z")
-    prefixes = [python(p) for p in prefix_patterns(rules)]
-    checks = {r.name: python(r"\A(?:" + r.pattern + r")\z") for r in rules if r.pattern}
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for record in pdf["record"]:
-                leading = sum(1 for p in prefixes if p.match(record))
-                if not whole.match(record):
-                    out.append([["quoting"], min(leading + 1, len(rules) + 1), *[None] * len(rules)])
-                    continue
-                found, at = [], 0
-                while at <= len(record):
-                    m = any_field.match(record, at)
-                    found.append(m.group())
-                    at = m.end() + 1
-                if len(found) != len(rules):
-                    out.append([["column_count"], min(leading + 1, len(rules) + 1), *[None] * len(rules)])
-                    continue
-                values = [x[1:-1].replace('""', '"') if x[:1] == '"' else x for x in found]
-                plain = [re.sub(rf"\A{_BLANKS}|{_BLANKS}\Z", "", v) for v in values]
-                bad = [n for n, v in zip(names, plain) if n in checks and v and not checks[n].match(v)]
-                out.append([bad, names.index(bad[0]) + 1 if bad else None, *([None] * len(rules) if bad else values)])
-            result = pd.DataFrame(out, columns=["reasons", "broken_field", *names], index=pdf.index)
-            yield pd.concat([pdf.drop(columns=["record"]), result], axis=1)
-
-    return parse
-
-
-def parse_rows(raw: DataFrame, rules: tuple[FieldRule, ...] = MANIFEST_RULES, id_column: str = "line_id", text_column: str = "raw_line", most_quotes: int = MOST_QUOTES) -> DataFrame:
+def _failure(record: Column, rules: tuple[FieldRule, ...]) -> Column:
+    """struct(reasons, broken_field) of a record that is no valid row, from its leading fields: the
+    first k of which no k are well-formed is broken, or missing if the record ends before it; if all
+    are there, it is what follows them, or the first value against its rule."""
+    places = {r.name: i for i, r in enumerate(rules, 1)}
+    fault = lambda reason, at: F.struct(F.array(reason).alias("reasons"), F.lit(at).alias("broken_field"))
+    ends_after = lambda k: record.rlike(r"\A" + ",".join([_ANY] * k) + r"\z")
+    kind = lambda missing: F.when(missing, "column_count").otherwise("quoting")
+    prefixes = prefix_patterns(rules)
+    found = F.when(~record.rlike(prefixes[0]), fault(F.lit("quoting"), 1))
+    for k, prefix in enumerate(prefixes[1:], 2):
+        found = found.when(~record.rlike(prefix), fault(kind(ends_after(k - 1)), k))
+    more = record.rlike(r"\A" + ",".join([_ANY] * len(rules)) + f"(?:,{_ANY})++" + r"\z")
+    found = found.when(~ends_after(len(rules)), fault(kind(more), len(rules) + 1))
+    unusable = F.array_compact(F.array(*[F.when(~record.rlike(p), F.lit(name)) for name, p in value_patterns(rules).items()]))
+    first = F.create_map(*[F.lit(x) for r, i in places.items() for x in (r, i)])
+    return found.otherwise(F.struct(unusable.alias("reasons"), first[F.get(unusable, F.lit(0))].alias("broken_field")))
+
+
+def parse_rows(raw: DataFrame, rules: tuple[FieldRule, ...] = MANIFEST_RULES, id_column: str = "line_id", text_column: str = "raw_line") -> DataFrame:
     """(id, raw text, reasons, broken_field, one column for each rule) of every record.
 
     A valid record has no reasons and its fields' values, with doubled quotes made single. Any other
     has null fields and the reasons ``quoting``, or ``column_count``, or the names of all fields whose
     value is not usable; ``broken_field`` is the number of the first broken field, and one more than
     the rules if it is what follows them. A byte order mark before and one carriage return behind a
-    record are not part of it. An empty record is one of a single empty field; a null record has the
-    reason ``missing``. Repeated records each count; columns beside the two named are not read.
+    record are not part of it. Blanks are what Unicode calls white space. An empty record is one of a
+    single empty field; a null record has the reason ``missing``. Repeated records each count; columns
+    beside the two named are not read.
     """
+    record, whole = F.col("record"), row_pattern(rules)
     named = raw.select(F.col(id_column), F.col(text_column), _record(F.col(text_column)).alias("record"))
-    quotes = F.length("record") - F.length(F.replace(F.col("record"), F.lit('"'), F.lit("")))
-    usual = named.filter(F.col("record").isNull() | (quotes <= most_quotes))
-    whole = row_pattern(rules)
-    record = F.col("record")
-    good = F.coalesce(record.rlike(whole), F.lit(False))
-    well_formed = record.rlike(r"\A" + _ANY + "(?:," + _ANY + r")*+\z")
-    leading = sum((record.rlike(p).cast("int") for p in prefix_patterns(rules)), F.lit(0))
-    n = len(rules)
-    as_fields = r"\A" + ",".join([f"({_QUOTED}|{_PLAIN})"] * n) + r"\z"
-    right_count = record.rlike(as_fields)
-    unusable = [
-        F.when(~F.regexp_replace(_value(F.regexp_extract(record, as_fields, i)), rf"\A{_BLANKS}|{_BLANKS}\z", "").rlike(rf"\A(?:{r.pattern})?\z"), F.lit(r.name))
-        for i, r in enumerate(rules, 1)
-        if r.pattern
-    ]
-    bad = F.array_compact(F.array(*unusable))
-    empty = F.array().cast("array<string>")
-    reasons = F.when(record.isNull(), F.array(F.lit("missing"))).when(good, empty).when(~well_formed, F.array(F.lit("quoting"))).when(~right_count, F.array(F.lit("column_count"))).otherwise(bad)
-    parsed = usual.withColumn("reasons", reasons)
-    valid = F.size("reasons") == 0
-    position = F.create_map(*[F.lit(x) for i, r in enumerate(rules, 1) for x in (r.name, i)])
-    first = F.when(valid | record.isNull(), F.lit(None)).when(F.element_at("reasons", 1).isin("quoting", "column_count"), leading + 1).otherwise(position[F.element_at("reasons", 1)])
-    fields = [F.when(valid, _value(F.regexp_extract(record, as_fields, i))).alias(r.name) for i, r in enumerate(rules, 1)]
-    parsed = parsed.select(id_column, text_column, "reasons", first.cast("int").alias("broken_field"), *fields)
-    schema = f"{id_column} bigint, {text_column} string, reasons array<string>, broken_field int, " + ", ".join(f"{r.name} string" for r in rules)
-    odd = named.filter(quotes > most_quotes).mapInPandas(_parse_by_other_engine(rules), schema)
-    return parsed.unionByName(odd)
+    nothing = F.struct(F.array().cast("array<string>").alias("reasons"), F.lit(None).cast("int").alias("broken_field"))
+    missing = F.struct(F.array(F.lit("missing")).alias("reasons"), F.lit(None).cast("int").alias("broken_field"))
+    failure = F.when(record.isNull(), missing).when(record.rlike(whole), nothing).otherwise(_failure(record, rules))
+    valid = F.size("failure.reasons") == 0
+    fields = [F.when(valid, _value(F.regexp_extract(record, whole, i))).alias(r.name) for i, r in enumerate(rules, 1)]
+    return named.withColumn("failure", failure).select(id_column, text_column, "failure.reasons", "failure.broken_field", *fields)
 
 
 def valid_rows(parsed: DataFrame, id_column: str = "line_id", rules: tuple[FieldRule, ...] = MANIFEST_RULES) -> DataFrame:
