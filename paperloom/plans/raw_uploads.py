@@ -39,7 +39,7 @@ WITH records AS (
 ), judged AS (
   SELECT *, regexp_full_match({q.strip("v4")}, '(1[5-9][0-9]{{2}}|2[01][0-9]{{2}}|2200)?') AS year_ok,
     regexp_full_match({q.strip("v5")}, '(10\\.[0-9]{{4,9}}/{q.WORD})?') AS doi_ok,
-    {" + ".join(f"CAST(regexp_matches(record, '^{','.join([_FIELD] * k)}(,|$)', 's') AS INTEGER)" for k in range(1, 8))} AS leading
+    {" + ".join(f"CAST(regexp_matches(record, '^{','.join([_FIELD] * k)}(,|$)', 's') AS INTEGER)" for k in range(1, 8))} AS sound
   FROM unquoted
 )
 """
@@ -56,8 +56,8 @@ UNION ALL SELECT line_id, 'doi' FROM judged WHERE well_formed AND fields = 7 AND
     + "SELECT line_id, v1 AS filename, v2 AS examiner, v3 AS title, v4 AS year, v5 AS doi, v6 AS source, v7 AS notes FROM judged WHERE well_formed AND fields = 7 AND year_ok AND doi_ok",
     "p5_broken_fields": _PARSED
     + """
-SELECT line_id, 'quoting' AS reasons, CAST(leading + 1 AS INTEGER) AS broken_field FROM judged WHERE NOT well_formed
-UNION ALL SELECT line_id, 'column_count', CAST(leading + 1 AS INTEGER) FROM judged WHERE well_formed AND fields <> 7
+SELECT line_id, 'quoting' AS reasons, CAST(sound + 1 AS INTEGER) AS broken_field FROM judged WHERE NOT well_formed
+UNION ALL SELECT line_id, 'column_count', CAST(sound + 1 AS INTEGER) FROM judged WHERE well_formed AND fields <> 7
 UNION ALL SELECT line_id, concat_ws(',', CASE WHEN NOT year_ok THEN 'year' END, CASE WHEN NOT doi_ok THEN 'doi' END), CASE WHEN year_ok THEN 5 ELSE 4 END
   FROM judged WHERE well_formed AND fields = 7 AND NOT (year_ok AND doi_ok)
 """,
