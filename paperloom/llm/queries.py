@@ -138,8 +138,18 @@ WITH of_source AS (
 """
 
 
+# the only letters in the texts that the normal form changes are two ligatures
+_GRAMS = r"""
+  SELECT {id}, array_to_string(ws[i : i + 11], ' ') AS gram FROM (
+    SELECT {id}, ws, unnest(range(1, len(ws) - 10)) AS i FROM (
+      SELECT {id}, regexp_extract_all(lower(regexp_replace(replace(replace(nfc_normalize(text), 'ﬁ', 'fi'), 'ﬂ', 'fl'), '([\pL\pN])[-\x{{2010}}\x{{ad}}][ \t\xa0]*\r?\n[ \t\xa0]*([\pL\pN])', '\1\2', 'g')), '[\pL\pN]+') AS ws
+      FROM {table}))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p7_found": f"SELECT DISTINCT doc_id, item_id FROM ({_GRAMS.format(id='doc_id', table='documents')}) JOIN ({_GRAMS.format(id='item_id', table='eval_items')}) USING (gram)",
         "p1_found": _TERMS + "SELECT field, term, mark FROM marked WHERE mark IS NOT NULL",
         "p1_term_frequency": _TERMS + "SELECT field, term, occurrences, records, mark FROM marked",
         "p2_clean_texts": _LINES

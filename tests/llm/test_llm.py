@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from paperloom.llm import components, frequency, languages, leakage, names, packing, site_lines, works
@@ -393,6 +395,7 @@ def test_leaks(spark):
     for run in (5, 12):
         got = [(r["doc_id"], r["item_id"]) for r in leakage.leaked_items(df, it, run).collect()]
         assert len(got) == len(set(got)) and set(got) == python_leaks(documents, items, run) and got
+    assert sorted(leakage.leaked_items(df.union(df), it, 12).collect()) == sorted(leakage.leaked_items(df, it, 12).collect())
     rows = {r["doc_id"]: r for r in leakage.without_leaks(df, it, 12).collect()}
     assert set(rows) == {d for d, _ in python_leaks(documents, items, 12)}
     left = [(d, r["text"]) for d, r in rows.items() if r["text"]]
@@ -400,10 +403,44 @@ def test_leaks(spark):
     assert leakage.leaked_items(df.limit(0), it).count() == leakage.leaked_items(df, it.limit(0)).count() == 0
 
 
-def test_too_large_evaluation_set(spark, monkeypatch):
-    monkeypatch.setattr(leakage, "MOST_CHARACTERS", 3)
-    with pytest.raises(ValueError):
-        leakage.gram_index(spark.createDataFrame([(1, "long text")], "item_id long, text string"))
+def test_evaluation_set_in_parts(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(30))) for i in range(20)]
+    documents = [(d, "Start. " + items[d % 20][1][: 40 + 5 * d].upper() + " - middle - " + items[(d + 7) % 20][1] + " END") for d in range(15)] * 2
+    df, it = spark.createDataFrame(documents, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = [sorted(map(tuple, f(df, it, 8).collect()), key=str) for f in (leakage.leaked_items, leakage.without_leaks)]
+    monkeypatch.setattr(leakage, "GRAMS_AT_ONCE", 100)
+    parts = [sorted(map(tuple, f(df, it, 8).collect()), key=str) for f in (leakage.leaked_items, leakage.without_leaks)]
+    assert whole == parts and len(whole[1]) == 30 and {(d, i) for d, i, *_ in whole[0]} == python_leaks(documents, items, 8)
+
+
+def test_a_hash_alone_is_no_hit(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "window_hashes", lambda found, codes, run: np.full(max(0, len(found) - run + 1), 5, np.uint64))
+    items = spark.createDataFrame([(1, "a b c d")], "item_id long, text string")
+    df = spark.createDataFrame([(1, "x y z a b c"), (2, "x y z u v w")], "doc_id long, text string")
+    grams = leakage.item_grams(items, 3)
+    hits = df.select("doc_id", F.lit(0).alias("text_hash"), F.array(*[F.struct(F.lit(i).alias("at"), F.lit(5).cast("long").alias("hash"), F.array_join(F.slice(F.split("text", " "), i + 1, 3), " ").alias("gram")) for i in range(4)]).alias("hits"))
+    assert [tuple(r) for r in leakage._verified(hits, grams).collect()] == [(1, 0, 3, 1)]
+
+
+def test_clean_text_keeps_its_letters(spark):
+    item = "der Preis für Strom aus Ärmelkanal Kraft-\nwerken fiel im Jahr 1999 um neun Prozent"
+    before, behind = "Keep THIS Case: ÄRGER, ﬁne Ⅻ e\u0301 İstanbul\u00a0²\r\n\t", " — Zoë’s ½ WORDS stay,\n\nas they ARE (all " + "of them " * 20 + ")."
+    text = before + item.upper().replace("KRAFT-\nWERKEN", "KRAFT-\nWERKEN") + behind
+    df = spark.createDataFrame([(1, text), (2, before + behind)], "doc_id long, text string")
+    rows = leakage.without_leaks(df, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [tuple(r) for r in rows] == [(1, before + behind, 14, False)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="aZé\u0301İßΣς 한\u1112\u1161\u11abﬁ½ｶﾞ_-\n\u00ad\u0308.1̂ñ\u0130Å\u212b\u0b3e\u0b47", max_size=25))
+def test_words_lie_where_they_are_said_to(text):
+    """The places follow one another and, cut out and normalised, hold the words."""
+    found, places = leakage.words(text), leakage.word_places(text)
+    assert len(found) == len(places)
+    assert all(a < z for a, z in places) and all(x[0] <= y[0] and x[1] <= y[1] for x, y in zip(places, places[1:]))
+    for word, (a, z) in zip(found, places):
+        assert word.replace("ς", "σ") in leakage.normalised(text[a:z]).replace("ς", "σ")
 
 
 # --- languages
