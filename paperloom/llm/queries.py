@@ -37,16 +37,22 @@ def p1_term_frequency(spark: SparkSession, folder: str) -> DataFrame:
     return _terms(spark, folder).select("field", "term", "occurrences", "records", "mark")
 
 
-def _site_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return site_lines.site_line_places(site_lines.site_block_rows(_texts(spark, folder, "chunks", "row_id", "source_pdf", "text"), _table(spark, folder, "manifest")))
+def _site_blocks(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return site_lines.site_blocks(_texts(spark, folder, "chunks", "row_id", "source_pdf", "text"), _table(spark, folder, "manifest"))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _site_lines(spark, folder)
+    return _site_blocks(spark, folder)[0]
+
+
+def p2_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    sources = _table(spark, folder, "manifest").select("source", F.xxhash64("source").alias("src")).distinct()
+    blocks = site_lines.block_texts(_site_blocks(spark, folder)[1], _table(spark, folder, "chunks"))
+    return blocks.join(sources, "src").select("source", "block", "lines", "docs")
 
 
 def p2_clean_texts(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = site_lines.without_lines(_table(spark, folder, "chunks"), _site_lines(spark, folder))
+    cleaned = site_lines.without_lines(_table(spark, folder, "chunks"), _site_blocks(spark, folder)[0])
     return cleaned.select("row_id", "text", F.array_join("removed", "\n").alias("removed"))
 
 
@@ -103,7 +109,7 @@ def p8_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
-        p1_found, p1_term_frequency, p2_found, p2_clean_texts, p3_found, p3_survivors, p4_found, p4_entities,
+        p1_found, p1_term_frequency, p2_found, p2_blocks, p2_clean_texts, p3_found, p3_survivors, p4_found, p4_entities,
         p6_containers, p7_found, p7_clean_texts, p8_found, p8_segments,
     )
     return {f.__name__: f for f in own}
@@ -161,5 +167,16 @@ def oracle_sql() -> dict[str, str]:
     coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (WHERE g.line_no IS NOT NULL), '') AS removed
   FROM every LEFT JOIN gone g USING (row_id, line_no) GROUP BY row_id
 ) SELECT c.row_id, k.text AS text, coalesce(k.removed, '') AS removed FROM chunks c LEFT JOIN kept k USING (row_id)""",
+        # all runs of up to twelve lines, of which those that a longer one replaces are left out
+        "p2_blocks": _LINES
+        + """, runs AS (
+  SELECT row_id, source_pdf, source, list(key ORDER BY line_no) AS keys FROM keyed WHERE key <> '' GROUP BY ALL
+), starts AS (SELECT source_pdf, source, keys, unnest(range(1, len(keys) + 1)) AS i FROM runs
+), grams AS (SELECT source_pdf, source, keys, i, unnest(range(1, 13)) AS k FROM starts
+), blocks AS (
+  SELECT source, keys[i : i + k - 1] AS block, k AS lines, count(DISTINCT source_pdf) AS docs FROM grams WHERE i + k - 1 <= len(keys) GROUP BY ALL HAVING count(DISTINCT source_pdf) >= 10
+), held AS (
+  SELECT source, block[1 : lines - 1] AS block, docs FROM blocks WHERE lines > 1 UNION SELECT source, block[2 : lines], docs FROM blocks WHERE lines > 1
+) SELECT source, array_to_string(block, chr(10)) AS block, CAST(lines AS INTEGER) AS lines, docs FROM blocks ANTI JOIN held USING (source, block, docs)""",
         "p2_found": _LINES + "SELECT row_id, CAST(line_no AS INTEGER) AS line_no FROM keyed JOIN often USING (source, key)",
     }

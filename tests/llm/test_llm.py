@@ -72,6 +72,29 @@ def python_site_lines(chunks, manifest, least):
     return {(r, i) for r, f, i, k in each if len(docs[(source[f], k)]) >= least}
 
 
+def python_site_blocks(chunks, manifest, least):
+    source = {f: s for f, s in manifest if s and s.strip()}
+    key = lambda x: "".join(c for c in x.lower() if c.isalpha())
+    docs = defaultdict(set)
+    for _, f, t in chunks:
+        if t and f in source:
+            keys = [key(x) for x in t.split("\n") if key(x)]
+            for i in range(len(keys)):
+                for j in range(i + 1, len(keys) + 1):
+                    docs[(source[f], tuple(keys[i:j]))].add(f)
+    found = {k: len(d) for k, d in docs.items() if len(d) >= least}
+    held = {(s, part, n) for (s, b), n in found.items() for part in (b[:-1], b[1:])}
+    return {(s, "\n".join(b), len(b), n) for (s, b), n in found.items() if (s, b, n) not in held}
+
+
+def site_block_table(spark, chunks, manifest, least):
+    df = spark.createDataFrame(chunks, "row_id long, source_pdf string, text string").withColumn("source", F.lit("clash"))
+    places, blocks = site_lines.site_blocks(df, spark.createDataFrame(manifest, "filename string, source string"), least)
+    names = spark.createDataFrame([(s,) for s in {s for _, s in manifest if s}], "source string").withColumn("src", F.xxhash64("source"))
+    found = site_lines.block_texts(blocks, df).join(names, "src")
+    return df, places, {(r["source"], r["block"], r["lines"], r["docs"]) for r in found.collect()}
+
+
 @pytest.mark.parametrize("partitions", ["1", "7"])
 def test_site_lines(spark, partitions):
     chunks, manifest = site_rows()
@@ -79,43 +102,59 @@ def test_site_lines(spark, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        df = spark.createDataFrame(chunks, "row_id long, source_pdf string, text string").withColumn("source", F.lit("clash"))
-        blocks = site_lines.site_block_rows(df, spark.createDataFrame(manifest, "filename string, source string")).cache()
-        places = site_lines.site_line_places(blocks)
+        df, places, blocks = site_block_table(spark, chunks, manifest, 10)
         want = python_site_lines(chunks, manifest, 10)
         assert {(r["row_id"], r["line_no"]) for r in places.collect()} == want and len(want) > 50
-        sizes = {len(r["block"]) for r in blocks.collect()}
-        assert {1, 3} <= sizes
+        assert blocks == python_site_blocks(chunks, manifest, 10) and {b[2] for b in blocks} >= {1, 3}
         texts = {r["row_id"]: (r["text"], len(r["removed"])) for r in site_lines.without_lines(df, places).collect()}
         for row, _, text in chunks:
             kept = None if text is None else "\n".join(x for i, x in enumerate(text.split("\n"), 1) if (row, i) not in want)
             assert texts[row] == (kept, sum(r == row for r, _ in want))
-        assert site_lines.site_block_rows(df.limit(0), spark.createDataFrame(manifest, "filename string, source string")).count() == 0
+        empty = site_lines.site_blocks(df.limit(0), spark.createDataFrame(manifest, "filename string, source string"))
+        assert [x.count() for x in empty] == [0, 0]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_blocks_over_parts_of_the_suffix_array():
-    import pandas as pd
+def test_long_blocks(spark):
+    """Blocks of a width, of a little more and of several widths, also of one line over and over."""
+    name = lambda i: "line " + chr(97 + i // 26) + chr(97 + i % 26)
+    notice = [name(i) for i in range(40)]
+    chunks = [(d, f"f{d}", "\n".join([f"own {name(d)}", *notice[: 40 if d < 12 else 17 if d < 17 else 16], f"tail {name(d)}", *["again"] * (35 if d < 11 else 33)])) for d in range(20)]
+    manifest = [(f"f{d}", "J") for d in range(20)]
+    _, places, blocks = site_block_table(spark, chunks, manifest, 10)
+    assert blocks == python_site_blocks(chunks, manifest, 10) and {40, 17, 16, 35, 33} <= {b[2] for b in blocks}
+    assert {(r["row_id"], r["line_no"]) for r in places.collect()} == python_site_lines(chunks, manifest, 10)
+
+
+@pytest.mark.parametrize("cut", [1, 7, 13, 400])
+def test_intervals_over_parts_of_the_suffix_array(cut):
+    import pyarrow as pa
 
     rng = random.Random(8)
-    suffixes = sorted((1, [rng.randrange(3) for _ in range(rng.randrange(1, 5))], d) for d in range(80))
-    frame = lambda rows: pd.DataFrame([(s, x, d, d, list(range(len(x)))) for s, x, d in rows], columns=["src", "suffix", "doc", "row_id", "line_nos"])
-    whole = defaultdict(set)
-    for part in site_lines._blocks_of_sorted(iter([frame(suffixes)])):
-        for b, d in zip(part["block"], part["doc"]):
-            whole[tuple(b)].add(d)
-    cut = defaultdict(set)
-    for a in range(0, 80, 13):
-        for part in site_lines._blocks_of_sorted(iter([frame(suffixes[a : a + 13])])):
-            for b, d in zip(part["block"], part["doc"]):
-                cut[tuple(b)].add(d)
-    brute = defaultdict(set)
-    for _, x, d in suffixes:
+    suffixes = sorted((rng.randrange(2), 0, [rng.randrange(3) for _ in range(rng.randrange(1, 6))], rng.randrange(25), i, i) for i in range(300))
+    rows, brute = [], defaultdict(set)
+    for a in range(0, 300, cut):
+        part = suffixes[a : a + cut]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part[b : b + 5])], names=list("abcdef")) for b in range(0, len(part), 5)]
+        rows += [r for batch in site_lines._intervals(4, True)(iter(batches)) for r in batch.to_pylist()]
+    for src, _, x, d, *_ in suffixes:
         for n in range(1, len(x) + 1):
-            brute[tuple(x[:n])].add(d)
-    assert all(brute[b] == docs for b, docs in whole.items()) and all(brute[b] == cut[b] for b in whole if len(whole[b]) > 1)
+            brute[(src, tuple(x[:n]))].add(d)
+    whole = {(r["src"], tuple(r["block"])): r["docs"] for r in rows if r["kind"] == "block"}
+    over = defaultdict(set)
+    for r in rows:
+        if r["kind"] == "open":
+            for n in range(1, len(r["block"]) + 1):
+                over[(r["src"], tuple(r["block"][:n]))].add(r["doc"])
+    assert all(len(brute[b]) == n for b, n in whole.items()) and all(over[b] == brute[b] for b in over)
+    found = {b for b in over if len(over[b]) >= 4} | set(whole)
+    most = {b for b, d in brute.items() if len(d) >= 4}
+    assert found <= most and all(any(c[0] == b[0] and c[1][: len(b[1])] == b[1] and brute[c] == brute[b] for c in found) for b in most)
+    sure = {r["row_id"] for r in rows if r["kind"] == "place"}
+    may = {r["row_id"] for r in rows if r["kind"] == "open place" and (r["src"], tuple(r["block"])) in found}
+    assert sure | may == {i for src, _, x, _, i, _ in suffixes if len(brute[(src, (x[0],))]) >= 4}
 
 
 # --- works
