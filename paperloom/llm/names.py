@@ -13,14 +13,16 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperloom.functions.checks import TOOL_FRAGMENTS
 from paperloom.llm.components import components
+from paperloom.skew import salted_join
 from paperloom.storage import staged
 
-#: Share of the smaller form's q-grams that must be among the other's, and letters of a q-gram.
-LEAST_SHARED, Q = 1 / 3, 3
+#: Share of the lighter form's q-grams, by weight, that must be among the other's, and letters of a q-gram.
+LEAST_SHARED, Q = 1 / 4, 3
 #: Soft similarity from which forms are linked, and edits allowed between them.
 LEAST_SIMILARITY = 0.75
 MOST_EDITS = {"person": 2, "journal": 4}
@@ -29,8 +31,6 @@ MOST_EDITS = {"person": 2, "journal": 4}
 TITLES = ("dipl", "dr", "ing", "mag", "mba", "msc", "phd", "prof")
 EMPTY_WORDS = ("and", "for", "in", "of", "on", "the")
 EDITION_WORDS = ("online", "print", "vol")
-# fixed values: fragments by which an export tool's name is told from a journal's
-TOOL_FRAGMENTS = ("3b2", "acrobat", "distiller", "microsoft word", "original paper", "publishing system", "research paper", "total publishing", "unicode")
 
 
 def tokens(spelling: str) -> list[str]:
@@ -172,25 +172,35 @@ def forms_of(values: DataFrame, kinds: dict[str, str]) -> DataFrame:
 
 
 def candidates(forms: DataFrame) -> DataFrame:
-    """Pairs of (field, form) of which the one with fewer q-grams has ``LEAST_SHARED`` of them in
-    common with the other. Its rarest q-grams, as many as it may lack and one more, are looked up
-    among all q-grams of the other; the shared ones are counted for the pairs so found."""
+    """Pairs of (field, form) of which the lighter one has ``LEAST_SHARED`` of its q-grams, by weight, in
+    common with the other.
+
+    A q-gram weighs the more the fewer forms have it, in bits, and nothing if one has it. The lighter
+    form's heaviest q-grams, so many that what is left weighs less than it must share, are looked up
+    among all q-grams of the other, so those that many forms have are hardly ever looked up; then the
+    shared ones are weighed.
+    """
     padded = F.transform(F.split("form", " "), lambda t: F.concat(F.lit("^"), t, F.lit("$")))
     grams = F.flatten(F.transform(padded, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - (Q - 1))), lambda i: F.substr(t, i, F.lit(Q)))))
-    own = staged(forms.select("field", "form", "id", F.array_distinct(grams).alias("grams")), "name-grams")
-    each = own.select("field", "id", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
-    often = each.groupBy("field", "gram").agg(F.count("*").alias("df"))
-    rarest = Window.partitionBy("field", "id").orderBy("df", "gram")
-    ranked = each.join(often, ["field", "gram"]).withColumn("rank", F.row_number().over(rarest))
-    needed = F.ceil(F.col("size") * LEAST_SHARED)
-    probe = ranked.filter(F.col("rank") <= F.col("size") - needed + 1).select("field", "gram", F.col("id").alias("a"), F.col("size").alias("size_a"))
-    index = each.select("field", "gram", F.col("id").alias("b"), F.col("size").alias("size_b"))
-    smaller = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
-    pairs = probe.join(index, ["field", "gram"]).filter(smaller).select("field", "a", "b").distinct()
-    a = own.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
+    each = staged(forms.select("field", "id", F.explode(F.array_distinct(grams)).alias("gram")), "name-grams")
+    totals = forms.groupBy("field").agg(F.count("*").alias("forms"))
+    often = each.groupBy("field", "gram").agg(F.count("*").alias("df")).filter("df > 1").join(totals, "field")
+    often = often.select("field", "gram", F.round(F.log2(1 + F.col("forms") / F.col("df")), 3).alias("weight"))
+    weighed = salted_join(each, often, ["field", "gram"], "id")
+    gram = F.struct("weight", "gram")
+    own = weighed.groupBy("field", "id").agg(F.sort_array(F.collect_list(gram), asc=False).alias("grams"), F.sum("weight").alias("size"))
+    own = staged(own, "name-weights")
+    before = F.aggregate(F.slice("grams", 1, F.col("at")), F.lit(0.0), lambda s, g: s + g["weight"])
+    probe = own.select("field", F.col("id").alias("a"), F.col("size").alias("size_a"), "grams", F.explode(F.sequence(F.lit(0), F.size("grams") - 1)).alias("at"))
+    probe = probe.filter(before <= F.col("size_a") * (1 - LEAST_SHARED)).select("field", "a", "size_a", F.get("grams", F.col("at"))["gram"].alias("gram"))
+    index = own.select("field", F.col("id").alias("b"), F.col("size").alias("size_b"), F.explode("grams").alias("g")).select("field", "b", "size_b", F.col("g.gram").alias("gram"))
+    parts = int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lighter = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
+    pairs = probe.repartition(parts, "field", "gram").join(index, ["field", "gram"]).filter(lighter).select("field", "a", "b").distinct()
+    a = own.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"), F.col("size").alias("size_a"))
     b = own.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
-    shared = F.size(F.array_intersect("grams_a", "grams_b"))
-    return pairs.join(a, "a").join(b, "b").filter(shared >= F.ceil(F.size("grams_a") * LEAST_SHARED)).select("field", "a", "b")
+    shared = F.aggregate(F.array_intersect("grams_a", "grams_b"), F.lit(0.0), lambda s, g: s + g["weight"])
+    return pairs.join(a, "a").join(b, "b").filter(shared >= F.col("size_a") * LEAST_SHARED).select("field", "a", "b")
 
 
 def token_facts(spelled: DataFrame) -> DataFrame:
@@ -263,4 +273,4 @@ def spelling_pairs(entities: DataFrame) -> DataFrame:
     """(field, spelling_a, spelling_b) of all pairs of different spellings of one entity, a < b."""
     a = entities.select("field", "entity", F.col("spelling").alias("spelling_a"))
     b = entities.select("field", "entity", F.col("spelling").alias("spelling_b"))
-    return a.join(b, ["field", "entity"]).filter("spelling_a < spelling_b").select("field", "spelling_a", "spelling_b")
+    return salted_join(a, b, ["field", "entity"], "spelling_a").filter("spelling_a < spelling_b").select("field", "spelling_a", "spelling_b")

@@ -380,13 +380,17 @@ def test_prefix_filter_loses_no_pair(spark):
     df = spark.createDataFrame([("e", f, i) for i, f in enumerate(forms)], "field string, form string, id long")
     got = {frozenset((r["a"], r["b"])) for r in names.candidates(df).collect()}
     grams = [{f"^{t}$"[i : i + 3] for t in f.split() for i in range(max(1, len(t)))} for f in forms]
+    df = Counter(g for own in grams for g in own)
+    weight = lambda own: sum(round(np.log2(1 + len(forms) / df[g]), 3) for g in own if df[g] > 1)
     want = set()
     for i, a in enumerate(grams):
         for j in range(i):
-            small = min(len(a), len(grams[j]))
-            if len(a & grams[j]) >= -(-small // 3):
+            least = names.LEAST_SHARED * min(weight(a), weight(grams[j]))
+            shared = weight(a & grams[j])
+            assert abs(shared - least) > 1e-6
+            if shared >= least and shared:
                 want.add(frozenset((i, j)))
-    assert got == want
+    assert got == want and 100 < len(want) < 3000
 
 
 def test_edits():
