@@ -41,8 +41,6 @@ LEAST_CHARACTERS = 60
 ROUNDS, SMOOTHING, UNKNOWN = 3, 0.05, 1e-7
 #: Words whose scores a worker keeps.
 KEPT_WORDS = 300_000
-#: The longest part of a word that is scored as one word; longer ones are cut into such parts.
-WORD_PART = 40
 
 _WORD = re.compile(r"[^\W\d_]+")
 _DIVIDED = re.compile(r"(?<=[^\W\d_])-[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
@@ -88,7 +86,7 @@ class SegmentationModel:
 
     def _row(self, word: str) -> int:
         """The place in ``scores`` of the word's log probabilities over all segmentations."""
-        scores = sum((self._forward("▁" + word[i : i + WORD_PART]) for i in range(0, len(word), WORD_PART)), np.zeros(len(self.languages)))
+        scores = self._forward("▁" + word)
         at = self.rows[word] = len(self.rows)
         if at >= len(self.scores):
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
@@ -129,9 +127,18 @@ class SegmentationModel:
         return running[ends] - running[ends - np.array(sizes, int)] if sizes else running[:0]
 
 
+def _log_sum(a: float, b: float) -> float:
+    """The log of the sum of two numbers given by their logs."""
+    if a < b:
+        a, b = b, a
+    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
+
+
 def _expected_counts(word_counts: dict[str, float], probability: dict[str, float], longest: int) -> Counter:
-    """Expected number of uses of each piece, by forward and backward sums over each word."""
+    """Expected number of uses of each piece, by forward and backward sums over each word, in logs."""
     expected: Counter = Counter()
+    logs = {piece: math.log(p) for piece, p in probability.items()}
+    unknown = math.log(UNKNOWN)
     for word, count in word_counts.items():
         text = "▁" + word
         n = len(text)
@@ -139,16 +146,15 @@ def _expected_counts(word_counts: dict[str, float], probability: dict[str, float
             (i, j, p, text[i:j])
             for i in range(n)
             for j in range(i + 1, min(n, i + longest) + 1)
-            if (p := probability.get(text[i:j], UNKNOWN if j == i + 1 else 0.0))
+            if (p := logs.get(text[i:j], unknown if j == i + 1 else None)) is not None
         ]
-        forward, backward = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+        forward, backward = [0.0] + [-math.inf] * n, [-math.inf] * n + [0.0]
         for i, j, p, _ in arcs:
-            forward[j] += forward[i] * p
+            forward[j] = _log_sum(forward[j], forward[i] + p)
         for i, j, p, _ in reversed(arcs):
-            backward[i] += p * backward[j]
-        if forward[n] > 0:
-            for i, j, p, piece in arcs:
-                expected[piece] += count * forward[i] * p * backward[j] / forward[n]
+            backward[i] = _log_sum(backward[i], p + backward[j])
+        for i, j, p, piece in arcs:
+            expected[piece] += count * math.exp(forward[i] + p + backward[j] - forward[n])
     return expected
 
 
@@ -173,7 +179,7 @@ def _word_counts(sample: DataFrame, model: SegmentationModel | None) -> DataFram
             if model is not None and parts:
                 best = model.text_scores([found for _, found in parts]).argmax(1)
                 parts = [x for x, i in zip(parts, best) if model.languages[i] == x[0]]
-            counts = Counter((label, w) for label, found in parts for w in found if len(w) <= WORD_PART)
+            counts = Counter((label, w) for label, found in parts for w in found)
             yield pd.DataFrame([(label, w, n) for (label, w), n in counts.items()], columns=["label", "word", "n"])
 
     return sample.mapInPandas(count, "label string, word string, n bigint").groupBy("label", "word").agg(F.sum("n").alias("n"))

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from paperloom.storage import staged
 
-#: Texts longer than this are cut at the tokenizer's own word limits before they are encoded.
-LONG_TEXT = 500_000
+#: Words whose tokens a task keeps.
+KEPT_WORDS = 500_000
 #: Containers that one task fills, about; each task may leave its last ones part empty.
 BINS_PER_TASK = 2000
 #: Kinds of containers, at most.
@@ -42,29 +42,29 @@ def _encoding(path: str):
     return own, regex.compile(public_tokenizers.PATTERN)
 
 
+class _Sizes(dict):
+    """The tokens of each word that the tokenizer's pattern cuts out. The words are encoded by
+    themselves, as the encoder's own matcher fails on long runs of blanks."""
+
+    def __init__(self, encoding):
+        self.encoding = encoding
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        n = self[word] = len(self.encoding._encode_single_piece(word))
+        return n
+
+
 def count_tokens(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, tokens) of every row; a null or empty text has 0 tokens."""
     path = path or vocabulary_path()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, words = _encoding(path)
-
-        def tokens(text: str | None) -> int:
-            if not text:
-                return 0
-            if len(text) <= LONG_TEXT:
-                return len(own.encode_ordinary(text))
-            seen: dict[str, int] = {}
-            total = 0
-            for m in words.finditer(text):
-                w = m.group()
-                if (n := seen.get(w)) is None:
-                    n = seen[w] = len(own.encode_ordinary(w))
-                total += n
-            return total
-
+        own, pattern = _encoding(path)
+        sizes = _Sizes(own)
         for batch in batches:
-            n = [tokens(t) for t in batch.column(1).to_pylist()]
+            n = [sum(map(sizes.__getitem__, pattern.findall(t))) if t else 0 for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["doc_id", "tokens"])
 
     own = df.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
