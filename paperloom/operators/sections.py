@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.tokens import count_words, last_words, tokens_of_words
-from paperloom.functions.unicode import lines, lstrip, strip
+from paperloom.functions.unicode import let, lines, lstrip, strip
 
 # fixed values: names that make a line a heading, and those that do after a blank line only
 SECTION_NAMES = (
@@ -24,26 +24,64 @@ def without_front_matter(text: Column) -> Column:
     return F.when(F.startswith(text, F.lit("---\n")) & (end > 0), rest).otherwise(text)
 
 
-def marked_lines(texts: DataFrame, id_column: str, text_column: str = "text") -> DataFrame:
-    """(id, line_no, line, heading, level): every line, with heading and level where it is one.
+def _places(marked: Column, wanted) -> Column:
+    """The places, from 0, of the elements that are ``wanted(element, place)``."""
+    return F.filter(F.transform(marked, lambda x, i: F.when(wanted(x, i), i)), lambda i: i.isNotNull())
+
+
+def _until_next(marked: Column, starts: Column, start: Column, k: Column) -> Column:
+    """The elements behind place ``start``, the k-th of ``starts``, and before the next one."""
+    return F.slice(marked, start + 2, F.coalesce(F.get(starts, k + 1), F.size(marked)) - start - 1)
+
+
+def marked_lines(text: Column) -> Column:
+    """An array of struct(line, heading, level) of the lines, with heading and level where one is a heading.
 
     A line is a heading if it has number signs, a section's name, or a number and a capital; a name
     for a paper's end is one if the line before it, in the same section, is blank.
     """
-    one = texts.select(id_column, F.posexplode(lines(without_front_matter(F.coalesce(text_column, F.lit(""))))).alias("line_no", "line"))
-    plain = strip(F.col("line"))
-    name = F.btrim(F.lower(plain), F.lit("."))
-    mark = F.regexp_extract("line", MARK_HEADING, 1)
-    early = (name.isin(*SECTION_NAMES) & (F.length(plain) <= 60)) | plain.rlike(NUMBER_HEADING)
-    flat = one.withColumn("plain", plain).withColumn("sure", (mark != "") | ((plain != "") & early))
-    before = Window.partitionBy(id_column).orderBy("line_no")
-    after_blank = (F.lag("plain").over(before) == "") & ~F.lag("sure").over(before)
-    late = F.coalesce(after_blank, F.lit(False)) & name.isin(*LATE_NAMES)
-    dots = F.regexp_extract(plain, r"(?U)\A((?:\d+[\s\x1c-\x1f]*\.[\s\x1c-\x1f]*)+)", 1)
-    level = F.when(mark != "", F.length(mark)).otherwise(F.least(F.lit(6), F.greatest(F.lit(1), F.length(dots) - F.length(F.replace(dots, F.lit("."), F.lit(""))))))
-    heading = F.when(mark != "", strip(F.regexp_extract("line", MARK_HEADING, 2))).otherwise(plain)
-    is_heading = F.col("sure") | late
-    return flat.select(id_column, "line_no", "line", F.when(is_heading, heading).alias("heading"), F.when(is_heading, level).cast("int").alias("level"))
+
+    def seen(line):
+        mark = F.regexp_extract(line, MARK_HEADING, 1)
+        named = lambda plain: (F.btrim(F.lower(plain), F.lit(".")).isin(*SECTION_NAMES) & (F.length(plain) <= 60)) | plain.rlike(NUMBER_HEADING)
+        sure = lambda plain: (mark != "") | ((plain != "") & named(plain))
+        return let(strip(line), lambda plain: F.struct(line.alias("line"), plain.alias("plain"), mark.alias("mark"), sure(plain).alias("sure")))
+
+    def judged(all_of, x, i):
+        before, plain, mark = F.get(all_of, i - 1), x["plain"], x["mark"]
+        late = F.coalesce((before["plain"] == "") & ~before["sure"], F.lit(False)) & F.btrim(F.lower(plain), F.lit(".")).isin(*LATE_NAMES)
+        dots = F.regexp_extract(plain, r"(?U)\A((?:\d+[\s\x1c-\x1f]*\.[\s\x1c-\x1f]*)+)", 1)
+        level = F.when(mark != "", F.length(mark)).otherwise(F.least(F.lit(6), F.greatest(F.lit(1), F.length(dots) - F.length(F.replace(dots, F.lit("."), F.lit(""))))))
+        heading = F.when(mark != "", strip(F.regexp_extract(x["line"], MARK_HEADING, 2))).otherwise(plain)
+        is_heading = x["sure"] | late
+        return F.struct(x["line"].alias("line"), F.when(is_heading, heading).alias("heading"), F.when(is_heading, level).cast("int").alias("level"))
+
+    return let(F.transform(lines(without_front_matter(F.coalesce(text, F.lit("")))), seen), lambda all_of: F.transform(all_of, lambda x, i: judged(all_of, x, i)))
+
+
+def sections_of(text: Column) -> Column:
+    """An array of struct(section_no, section_id, heading, level, page_start, page_end, text) of the
+    sections with text; all of it within the row."""
+
+    def cut(marked):
+        def one(starts, start, k):
+            own = strip(F.array_join(F.transform(_until_next(marked, starts, start, k), lambda x: x["line"]), "\n"))
+            head = F.get(marked, start)
+            return F.struct(start.alias("start"), head["heading"].alias("heading"), head["level"].alias("level"), own.alias("text"))
+
+        starts = F.concat(F.array(F.lit(-1)), _places(marked, lambda x, i: x["heading"].isNotNull()))
+        return let(starts, lambda all_of: F.filter(F.transform(all_of, lambda start, k: one(all_of, start, k)), lambda x: x["text"] != ""))
+
+    def numbered(kept):
+        first = F.when(F.get(kept, F.lit(0))["start"] < 0, 1).otherwise(2)
+        nothing = F.lit(None).cast("int")
+        return F.transform(kept, lambda x, i: F.struct(
+            (i + first).cast("int").alias("section_no"), F.format_string("sec_%04d", (i + first).cast("int")).alias("section_id"),
+            F.coalesce(x["heading"], F.lit("Body")).alias("heading"), F.coalesce(x["level"], F.lit(1)).alias("level"),
+            nothing.alias("page_start"), nothing.alias("page_end"), x["text"].alias("text"),
+        ))
+
+    return let(let(marked_lines(text), cut), numbered)
 
 
 def sections(texts: DataFrame, id_column: str, text_column: str = "text") -> DataFrame:
@@ -51,43 +89,41 @@ def sections(texts: DataFrame, id_column: str, text_column: str = "text") -> Dat
 
     What stands before the first heading is the section ``Body`` of level 1. Numbers run over the
     sections with text, after one that an empty beginning takes. Pages are null. A null or empty text
-    has no section; equal ids are read as one text, so ids should be unique.
+    has no section; each row is a text of its own, and no text is shuffled.
     """
-    w = Window.partitionBy(id_column).orderBy("line_no")
-    numbered = marked_lines(texts, id_column, text_column).withColumn("at", F.count("heading").over(w))
-    grouped = numbered.groupBy(id_column, "at").agg(
-        F.max("heading").alias("heading"),
-        F.max("level").alias("level"),
-        F.array_sort(F.collect_list(F.when(F.col("heading").isNull(), F.struct("line_no", "line")))).alias("own"),
-    )
-    text = strip(F.array_join(F.transform("own", lambda x: x["line"]), "\n"))
-    kept = grouped.select(id_column, "at", "heading", "level", text.alias("text")).filter(F.col("text") != "")
-    order = Window.partitionBy(id_column).orderBy("at")
-    number = F.row_number().over(order) + F.when(F.min("at").over(Window.partitionBy(id_column)) > 0, 1).otherwise(0)
-    nothing = F.lit(None).cast("int")
-    return kept.select(
-        id_column, number.cast("int").alias("section_no"), F.format_string("sec_%04d", number).alias("section_id"),
-        F.coalesce("heading", F.lit("Body")).alias("heading"), F.coalesce("level", F.lit(1)).alias("level"),
-        nothing.alias("page_start"), nothing.alias("page_end"), "text",
-    )
+    return texts.select(id_column, F.inline(sections_of(F.col(text_column))))
 
 
-def blocks(texts: DataFrame, keys: list[str], text_column: str = "text") -> DataFrame:
-    """(keys, block_no, text, words) of the blocks of each text, numbered from 1.
+def blocks_of(text: Column) -> Column:
+    """An array of struct(text, words) of the blocks of a text.
 
     A block is a run of lines that are not blank; a line that follows a table starts a new one too,
     while a table may follow a paragraph in its block. Null and blank texts have no block.
     """
-    one = texts.select(*keys, F.posexplode(lines(F.coalesce(text_column, F.lit("")))).alias("line_no", "line")).withColumn("plain", strip(F.col("line")))
-    in_order = Window.partitionBy(*keys).orderBy("line_no")
-    table = F.startswith("plain", F.lit("|")) & F.endswith("plain", F.lit("|"))
-    one = one.withColumn("table", table)
-    before, after_table = F.lag("plain").over(in_order), F.coalesce(F.lag("table").over(in_order), F.lit(False))
-    starts = (F.col("plain") != "") & (before.isNull() | (before == "") | (after_table & ~F.col("table")))
-    one = one.withColumn("starts", starts.cast("int")).withColumn("block_no", F.sum("starts").over(in_order).cast("int"))
-    joined = one.filter(F.col("plain") != "").groupBy(*keys, "block_no").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("own"))
-    text = strip(F.array_join(F.transform("own", lambda x: x["line"]), "\n"))
-    return joined.select(*keys, "block_no", text.alias("text")).withColumn("words", count_words(F.col("text")))
+
+    def seen(line):
+        table = lambda plain: F.startswith(plain, F.lit("|")) & F.endswith(plain, F.lit("|"))
+        return let(strip(line), lambda plain: F.struct(line.alias("line"), (plain == "").alias("blank"), table(plain).alias("table")))
+
+    def starts(all_of, x, i):
+        before = F.get(all_of, i - 1)
+        return ~x["blank"] & (before.isNull() | before["blank"] | (before["table"] & ~x["table"]))
+
+    def one(all_of, places, start, k):
+        own = F.filter(_until_next(all_of, places, start - 1, k), lambda x: ~x["blank"])
+        whole = strip(F.array_join(F.transform(own, lambda x: x["line"]), "\n"))
+        return let(whole, lambda t: F.struct(t.alias("text"), count_words(t).alias("words")))
+
+    def cut(all_of):
+        return let(_places(all_of, lambda x, i: starts(all_of, x, i)), lambda places: F.transform(places, lambda start, k: one(all_of, places, start, k)))
+
+    return let(F.transform(lines(F.coalesce(text, F.lit(""))), seen), cut)
+
+
+def blocks(texts: DataFrame, keys: list[str], text_column: str = "text") -> DataFrame:
+    """(keys, block_no, text, words) of the blocks of each text, numbered from 1."""
+    each = texts.select(*keys, F.posexplode(blocks_of(F.col(text_column))).alias("at", "block"))
+    return each.select(*keys, (F.col("at") + 1).alias("block_no"), "block.text", "block.words")
 
 
 def pack_blocks(own: Column, target_tokens: int, overlap_words: int) -> Column:
@@ -118,11 +154,20 @@ def pack_blocks(own: Column, target_tokens: int, overlap_words: int) -> Column:
 def chunks(parts: DataFrame, id_column: str, target_tokens: int = 900, overlap_words: int = 120) -> DataFrame:
     """(id, section_no, section, section_level, page_start, page_end, chunk_index, text, token_count_estimate)
     of the chunks of each text's sections; ``chunk_index`` runs from 1 over all sections of a text."""
-    keys = [id_column, "section_no"]
-    own = blocks(parts, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("block_no", "text", "words"))).alias("own"))
-    own = own.select(*keys, F.transform("own", lambda x: F.struct(x["text"].alias("text"), x["words"].alias("words"))).alias("own"))
-    packed = own.select(*keys, F.posexplode(pack_blocks(F.col("own"), target_tokens, overlap_words)).alias("at", "chunk"))
+    heads = [id_column, "section_no", F.col("heading").alias("section"), F.col("level").alias("section_level"), "page_start", "page_end"]
+    packed = parts.select(*heads, F.posexplode(pack_blocks(blocks_of(F.col("text")), target_tokens, overlap_words)).alias("at", "chunk"))
     order = Window.partitionBy(id_column).orderBy("section_no", "at")
-    packed = packed.select(*keys, F.row_number().over(order).alias("chunk_index"), "chunk.text", tokens_of_words(F.col("chunk.words")).alias("token_count_estimate"))
-    heads = parts.select(*keys, F.col("heading").alias("section"), F.col("level").alias("section_level"), "page_start", "page_end")
-    return packed.join(heads, keys).select(*keys, "section", "section_level", "page_start", "page_end", "chunk_index", "text", "token_count_estimate")
+    tokens = tokens_of_words(F.col("chunk.words")).alias("token_count_estimate")
+    return packed.select(id_column, "section_no", "section", "section_level", "page_start", "page_end", F.row_number().over(order).alias("chunk_index"), "chunk.text", tokens)
+
+
+def chunks_of_texts(texts: DataFrame, id_column: str, text_column: str = "text", target_tokens: int = 900, overlap_words: int = 120) -> DataFrame:
+    """``chunks`` of ``sections`` of whole texts, each within its row, without an exchange."""
+
+    def of_section(s):
+        packed = pack_blocks(blocks_of(s["text"]), target_tokens, overlap_words)
+        head = [s["section_no"].alias("section_no"), s["heading"].alias("section"), s["level"].alias("section_level"), s["page_start"].alias("page_start"), s["page_end"].alias("page_end")]
+        return F.transform(packed, lambda c: F.struct(*head, c["text"].alias("text"), tokens_of_words(c["words"]).alias("token_count_estimate")))
+
+    each = texts.select(id_column, F.posexplode(F.flatten(F.transform(sections_of(F.col(text_column)), of_section))).alias("at", "chunk"))
+    return each.select(id_column, (F.col("at") + 1).alias("chunk_index"), "chunk.*")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.tokens import STOPWORDS, count_phrase, terms
 from paperloom.functions.unicode import blank_to
+from paperloom.storage import staged
 
 # fixed values: phrases that name methods and theories, in the order in which they are reported
 METHOD_TERMS = (
@@ -32,15 +33,20 @@ def frequent_terms(chunks: DataFrame, order: list[str], most: int = 25, without_
 
     Equally frequent terms are ranked by their first place in the texts, which follow one another by
     ``order``. Null and blank examiners are one. Counting starts before the exchange, and no text is
-    joined with another, so an examiner with many texts is no larger task.
+    joined with another, so an examiner with many texts is no larger task. Places are looked up in a
+    second pass, and only of the terms that may be chosen and are as frequent as another.
     """
-    place = F.struct(*order)
-    each = chunks.select(examiner(), place.alias("place"), F.posexplode(terms(F.coalesce("text", F.lit("")))).alias("at", "term"))
+    found = terms(F.coalesce("text", F.lit("")))
     wanted = ~F.col("term").isin(*STOPWORDS)
     if without_links:
         wanted = wanted & ~F.startswith("term", F.lit("http"))
-    counts = each.filter(wanted).groupBy("examiner", "term").agg(F.count("*").alias("n"), F.min(F.struct("place", "at")).alias("first"))
-    return top(counts, "examiner", most, "first").select("examiner", "rank", "term", "n")
+    counts = chunks.select(examiner(), F.explode(found).alias("term")).filter(wanted).groupBy("examiner", "term").agg(F.count("*").alias("n"))
+    by_count = Window.partitionBy("examiner").orderBy(F.desc("n"))
+    likely = staged(counts.withColumn("rank", F.rank().over(by_count)).filter(F.col("rank") <= most), "likely-terms")
+    equal = likely.withColumn("equal", F.count("*").over(Window.partitionBy("examiner", "n"))).filter("equal > 1").select("examiner", "term")
+    each = chunks.select(examiner(), F.struct(*order).alias("place"), F.posexplode(found).alias("at", "term"))
+    first = each.join(equal, ["examiner", "term"]).groupBy("examiner", "term").agg(F.min(F.struct("place", "at")).alias("first"))
+    return top(likely.drop("rank").join(first, ["examiner", "term"], "left"), "examiner", most, "first").select("examiner", "rank", "term", "n")
 
 
 def phrase_counts(chunks: DataFrame, phrases: tuple[str, ...], by_count: bool = False, most: int | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -68,15 +69,21 @@ def _packed(vectors: DataFrame, id_column: str, vector_column: str, side: str) -
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """(query_id, rank, id, similarity): the ``k`` vectors nearest to each query by cosine, exactly.
 
-    Both sides are cut into blocks of bounded size; every pair of blocks is one matrix product, which
-    leaves k rows for each query, and the best of these are kept. A query finds itself if it is among
+    Both sides are cut into blocks of bounded size, and the pairs of blocks are laid out as a grid of
+    about as many cells as there are partitions: a block of either side is sent to one row or column of
+    cells, not to every block of the other. Every pair is one matrix product, which leaves k rows for
+    each query, and the best of these are kept. A query finds itself if it is among
     the vectors. Ties go to the lesser id; similarities are rounded to 6 digits before; null vectors
     are left out, and one of zeros has similarity 0 to all.
     """
     left, n_left = _packed(queries, id_column, vector_column, "q")
     right, n_right = _packed(vectors, id_column, vector_column, "v")
-    left = left.withColumn("v_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_right - 1).cast("bigint"))))
-    pairs = left.join(right, "v_block").select("q", "v")
+    cells = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = min(n_left, max(1, round(math.sqrt(cells * n_left / n_right))))
+    columns = min(n_right, max(1, -(-cells // rows)))
+    left = left.select("q", F.pmod("q_block", F.lit(rows)).cast("int").alias("row"), F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("column"))
+    right = right.select("v", F.pmod("v_block", F.lit(columns)).cast("int").alias("column"), F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("row"))
+    pairs = left.join(right, ["row", "column"]).select("q", "v")
     kind = dict(vectors.dtypes)[id_column]
 
     def best(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -10,7 +10,7 @@ from paperloom.functions.pdfinfo import find_doi, paper_metadata
 from paperloom.functions.unicode import blank_to
 from paperloom.operators import reports, sections, terms, vectors
 from paperloom.plans import sqltext as q
-from paperloom.storage import spread, staged
+from paperloom.storage import spread
 
 #: Sizes of the chunks that ``document_chunks`` makes, small enough for most texts to have several.
 TARGET, OVERLAP = 120, 20
@@ -152,8 +152,8 @@ def document_blocks(spark, folder):
 
 
 def document_chunks(spark, folder):
-    parts = staged(sections.sections(_texts(spark, folder, "documents"), "doc_id"), "sections")
-    return sections.chunks(parts, "doc_id", TARGET, OVERLAP).select("doc_id", "section", "chunk_index", "text", F.col("token_count_estimate").cast("bigint").alias("tokens"))
+    own = sections.chunks_of_texts(_texts(spark, folder, "documents"), "doc_id", "text", TARGET, OVERLAP)
+    return own.select("doc_id", "section", "chunk_index", "text", F.col("token_count_estimate").cast("bigint").alias("tokens"))
 
 
 def found_dois(spark, folder):
