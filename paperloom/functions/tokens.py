@@ -52,3 +52,13 @@ def last_words(text: Column, most: int) -> Column:
         return F.lit("")
     words = F.split(F.trim(spaced(text)), " +")
     return let(words, lambda w: F.array_join(F.slice(w, F.greatest(F.lit(1), F.size(w) - most + 1), most), " "))
+
+
+def rounded(numerator: Column, denominator: Column, digits: int) -> Column:
+    """A quotient of whole numbers rounded to so many decimals, halves to the even one, exactly; 0 for
+    a denominator of 0."""
+    power = 10**digits
+    parts, scaled = denominator * 2, numerator * (2 * power) + denominator
+    up = F.call_function("div", scaled, parts)
+    even = (scaled % parts == 0) & (up % 2 == 1)
+    return F.when(denominator > 0, (up - F.when(even, 1).otherwise(0)) / float(power)).otherwise(0.0)

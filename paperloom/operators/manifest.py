@@ -64,8 +64,9 @@ def scan(manifest: DataFrame, files: DataFrame, placeholders: tuple[str, ...] =
         real = own.filter(~F.col("filename").isin(*placeholders)).limit(1).count()
         own = own if real else own.limit(0)
     files = files.groupBy("filename").agg(F.min_by("found", F.struct(F.col("found").isNull(), F.to_json("found"))).alias("found"))
-    own = own.withColumn("first", F.row_number().over(Window.partitionBy("filename").orderBy("ord")) == 1)
-    both = own.alias("m").join(files.withColumn("on_disk", F.lit(True)).alias("f"), "filename", "full_outer")
+    named, blank_names = own.filter("filename <> ''"), own.filter("filename = ''").withColumn("first", F.lit(False))
+    named = named.withColumn("first", F.row_number().over(Window.partitionBy("filename").orderBy("ord")) == 1)
+    both = named.join(files.filter("filename <> ''").withColumn("on_disk", F.lit(True)), "filename", "full_outer").unionByName(blank_names, allowMissingColumns=True)
     new = F.col("first").isNull()
     blank = {c: F.coalesce(F.col(c), F.lit("")) for c in MANIFEST}
     draft = {
@@ -109,7 +110,8 @@ def validate(manifest: DataFrame, files: DataFrame, any_files: bool = True) -> D
     rows = manifest.join(files.filter(F.col("filename") != ""), "filename", "left")
     there, sha = F.coalesce("there", F.lit(False)), F.coalesce("sha256", F.lit(""))
     counts = rows.filter(sha != "").groupBy("sha256").agg((F.count("*") > 1).alias("again"))
-    rows = rows.join(counts, "sha256", "left")
+    hashed, other = rows.filter(sha != ""), rows.filter(sha == "").withColumn("again", F.lit(False))
+    rows = hashed.join(counts, "sha256").unionByName(other)
     blank = lambda c: strip(F.coalesce(F.col(c), F.lit(""))) == ""
     file_year, source = year_from_path(F.coalesce("filename", F.lit(""))), F.coalesce("source", F.lit(""))
     again = F.coalesce("again", F.lit(False))

@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from paperloom.functions.checks import HUGE_FROM, likely_scanned, suspicious_source
 from paperloom.functions.names import year_from_path
+from paperloom.functions.tokens import rounded
 from paperloom.functions.unicode import strip
 
 
-@F.pandas_udf(DoubleType())
-def _rounded(value: pd.Series, digits: pd.Series) -> pd.Series:
-    """Rounded as the binary number stands, halves to the even digit."""
-    return pd.Series([round(float(v), int(d)) for v, d in zip(value, digits)], dtype="float64")
-
-
 def measure(pages: DataFrame, files: DataFrame) -> DataFrame:
     """(filename, pages, file_mb, text_chars, chars_per_page, likely_scanned, huge_pdf) of each file.
 
@@ -27,9 +20,9 @@ def measure(pages: DataFrame, files: DataFrame) -> DataFrame:
     of_pages = pages.groupBy("filename").agg(F.count("*").cast("int").alias("pages"), F.sum(F.length(strip(F.coalesce("text", F.lit(""))))).alias("text_chars"))
     rows = files.join(of_pages, "filename", "left")
     n, chars = F.coalesce("pages", F.lit(0)), F.coalesce("text_chars", F.lit(0).cast("bigint"))
-    per_page = _rounded(F.when(n > 0, chars / n).otherwise(0.0), F.lit(1))
+    per_page = rounded(chars, n.cast("bigint"), 1)
     rows = rows.select(
-        "filename", n.alias("pages"), _rounded(F.col("length") / (1024 * 1024), F.lit(2)).alias("file_mb"), chars.alias("text_chars"),
+        "filename", n.alias("pages"), rounded(F.col("length").cast("bigint"), F.lit(1024 * 1024).cast("bigint"), 2).alias("file_mb"), chars.alias("text_chars"),
         per_page.alias("chars_per_page"), (F.col("length") >= HUGE_FROM).alias("huge_pdf"),
     )
     return rows.withColumn("likely_scanned", likely_scanned(F.col("pages"), F.col("chars_per_page")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom.functions.checks import reference_section, section_rank
-from paperloom.functions.tokens import estimate_tokens, excerpt
+from paperloom.functions.tokens import estimate_tokens, excerpt, rounded
 from paperloom.functions.unicode import blank_to
 from paperloom.operators.terms import examiner
 
@@ -18,14 +18,6 @@ def _text(column: str, other: str = "") -> Column:
     return blank_to(F.col(column), other).alias(column)
 
 
-def tenths(numerator: Column, denominator: Column) -> Column:
-    """A quotient of whole numbers rounded to one decimal, halves to the even one, exactly."""
-    parts, scaled = denominator * 2, numerator * 20 + denominator
-    up = F.floor(scaled / parts)
-    even = (scaled % parts == 0) & (up % 2 == 1)
-    return F.when(denominator > 0, (up - F.when(even, 1).otherwise(0)) / 10.0).otherwise(0.0)
-
-
 def exported(chunks: DataFrame, with_references: bool = True) -> DataFrame:
     """The chunks for export, without those of reference sections unless these are wanted."""
     return chunks if with_references else chunks.filter(~reference_section(F.col("section")))
@@ -91,7 +83,7 @@ def quality_summary(papers: DataFrame, chunks: DataFrame, pdfs: DataFrame) -> Da
     both = one[0].join(one[1], "_one").join(one[2], "_one")
     return both.select(
         "pdfs", "successes", F.greatest(F.lit(0).cast("bigint"), F.col("pdfs") - F.col("successes")).alias("failed"), "fallbacks", "chunks",
-        tenths(F.col("_tokens"), F.col("chunks")).alias("mean_tokens"), "tiny_chunks",
+        rounded(F.col("_tokens"), F.col("chunks"), 1).alias("mean_tokens"), "tiny_chunks",
     )
 
 

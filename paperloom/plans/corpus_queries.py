@@ -10,6 +10,7 @@ from paperloom.functions.pdfinfo import find_doi, paper_metadata
 from paperloom.functions.unicode import blank_to
 from paperloom.operators import reports, sections, terms, vectors
 from paperloom.plans import sqltext as q
+from paperloom.sources import render
 from paperloom.storage import spread
 
 #: Sizes of the chunks that ``document_chunks`` makes, small enough for most texts to have several.
@@ -179,6 +180,20 @@ def index_entries(spark, folder):
     return made.select("chunk_id", "document", F.size("embedding").cast("bigint").alias("dimensions"))
 
 
+def upserted_entries(spark, folder):
+    """An index of the chunks exported in the first half of the time, with those of the second half upserted."""
+    own = _texts(spark, folder, "chunks").drop("row_id")
+    ends = own.agg(F.min("exported_at"), F.max("exported_at")).first()
+    late = F.coalesce(F.col("exported_at") > F.lit(ends[0] + (ends[1] - ends[0]) / 2 if ends[0] else None), F.lit(False))
+    made = vectors.upsert_index(*[vectors.build_index(own.filter(c)) for c in (~late, late)])
+    return made.select("chunk_id", "document", F.size("embedding").cast("bigint").alias("dimensions"))
+
+
+def overview_lines(spark, folder):
+    """The lines of the corpus overview with the keys of their order."""
+    return render.corpus_overview(_texts(spark, folder, "chunks")).select(F.array_join("place", "/").alias("place"), "line")
+
+
 def question_hits(spark, folder):
     """The chunks nearest to a question, by the embedder without a model."""
     made = vectors.build_index(_texts(spark, folder, "chunks").select("chunk_id", "title", "chunk_index", "text", "exported_at"))
@@ -203,7 +218,7 @@ QUERIES = {
         theme_index, theme_signals, method_index, method_signals, theory_index, section_signals, selected_chunks, token_estimates, corpus_size, examiner_overview,
         pack_papers, quality_summary, tiny_chunks, exported_chunks, excerpt_rows, content_hashes, layout_choice, joined_words, without_page_numbers, tidy_texts,
         wrapped_urls, without_headers, clean_documents, document_sections, short_papers, document_blocks, document_chunks, found_dois, extracted_metadata,
-        nearest_vectors, index_entries, question_hits, event_numbers, section_names,
+        nearest_vectors, index_entries, upserted_entries, overview_lines, question_hits, event_numbers, section_names,
     )
 }
 
@@ -373,6 +388,18 @@ SELECT query_id, rank, id, similarity FROM ranked WHERE rank <= 5""",
     "index_entries": f"""
 WITH last AS (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY exported_at DESC NULLS LAST, chunk_index DESC NULLS LAST, text DESC NULLS LAST) AS place FROM chunks)
 SELECT chunk_id, coalesce(text, '') AS document, CAST({vectors.DIMENSIONS} AS BIGINT) AS dimensions FROM last WHERE place = 1""",
+    "upserted_entries": f"""
+WITH last AS (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY exported_at DESC NULLS LAST, chunk_index DESC NULLS LAST, text DESC NULLS LAST) AS place FROM chunks)
+SELECT chunk_id, coalesce(text, '') AS document, CAST({vectors.DIMENSIONS} AS BIGINT) AS dimensions FROM last WHERE place = 1""",
+    "overview_lines": f"""
+WITH keyed AS (SELECT {_KEYS}, {q.tokens("text")} AS tokens FROM chunks
+), size AS (SELECT count(DISTINCT examiner) AS a, count(DISTINCT (paper_id, examiner, title, year, doi)) AS b, count(*) AS c, CAST(coalesce(sum(tokens), 0) AS BIGINT) AS d FROM keyed
+), papers AS (SELECT DISTINCT paper_id, examiner, title, year, doi FROM keyed)
+SELECT '0000///' || printf('%09d', i - 1) AS place, ['# LLM Corpus Overview', '', '## Corpus Size', ''][i] AS line FROM range(1, 5) t(i)
+UNION ALL SELECT '0001//' || printf('%04d', i - 1), ['- Examiners: ' || a, '- Papers: ' || b, '- Chunks: ' || c, '- Estimated tokens in exported chunks: ' || d][i] FROM size, range(1, 5) t(i)
+UNION ALL SELECT '0002///' || printf('%09d', i - 1), ['', '## Examiners And Papers', ''][i] FROM range(1, 4) t(i)
+UNION ALL SELECT DISTINCT '0003/' || examiner || '/0000', chr(10) || '### ' || examiner || chr(10) FROM papers
+UNION ALL SELECT concat_ws('/', '0003', examiner, '0001', year, title, doi, paper_id), '- ' || year || ': ' || title || CASE WHEN doi <> '' THEN ', DOI: ' || doi ELSE '' END FROM papers""",
     "event_numbers": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "section_names": f"""
 WITH names AS (SELECT DISTINCT {q.blank_to("section", "")} AS section FROM chunks)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.functions import checks, names
+from paperloom.functions import checks, names, tokens
 from paperloom.operators import manifest, preflight, reports
 from paperloom.plans import sqltext as q
+from paperloom.storage import spread
 
 _FIELDS = ("title", "year", "doi", "source")
 
@@ -104,16 +105,23 @@ def preflight_warnings(spark, folder):
 
 def page_density(spark, folder):
     own = _table(spark, folder, "preflight")
-    per_page = reports.tenths(F.col("text_chars"), F.col("pages").cast("bigint"))
+    per_page = tokens.rounded(F.col("text_chars"), F.col("pages").cast("bigint"), 1)
     scanned = checks.likely_scanned(F.col("pages"), per_page)
     return own.select("filename", "pages", "text_chars", per_page.alias("chars_per_page"), F.coalesce(scanned, F.lit(False)).alias("likely_scanned"))
 
 
+def measured_files(spark, folder):
+    """What preflight measures of each file, with the file's chunks as its pages."""
+    pages = spread(_table(spark, folder, "chunks").select(F.col("source_pdf").alias("filename"), F.col("page_start").alias("page_no"), "text"))
+    files = _table(spark, folder, "preflight").groupBy("filename").agg(F.round(F.min("file_mb") * 1_000_000).cast("bigint").alias("length"))
+    return preflight.measure(pages, files).withColumn("pages", F.col("pages").cast("bigint"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         manifest_scan, manifest_validation, missing_metadata, duplicate_files, consistency_warnings, missing_files, unprocessed_files, current_chunks,
-        paper_chunk_counts, filename_parts, paper_ids, parsed_years, suspicious_sources, preflight_totals, preflight_warnings, page_density,
+        paper_chunk_counts, filename_parts, paper_ids, parsed_years, suspicious_sources, preflight_totals, preflight_warnings, page_density, measured_files,
     )
 }
 
@@ -195,6 +203,15 @@ WITH noted AS (
 )
 SELECT filename, pages, text_chars, coalesce(nullif(fy, ''), extracted_year) AS year,
   array_to_string(list_filter(notes, lambda x, i: list_position(notes, x) = i), '; ') AS warnings FROM noted""",
+    "measured_files": f"""
+WITH of_pages AS (SELECT source_pdf AS filename, count(*) AS pages, CAST(sum(length({q.strip("coalesce(text, '')")})) AS BIGINT) AS text_chars FROM chunks GROUP BY source_pdf
+), sizes AS (
+  SELECT filename, coalesce(pages, 0) AS pages, CAST(round(size_mb * 1000000) AS BIGINT) AS bytes, coalesce(text_chars, 0) AS text_chars
+  FROM (SELECT filename, min(file_mb) AS size_mb FROM preflight GROUP BY filename) LEFT JOIN of_pages USING (filename)
+), halves AS (
+  SELECT *, CASE WHEN pages = 0 THEN 0 ELSE {q.rounded_up('text_chars', 'pages', 10)} END AS tenths, {q.rounded_up('bytes', '1048576', 100)} AS hundredths FROM sizes
+) SELECT filename, pages, CAST(hundredths AS DOUBLE) / 100.0 AS file_mb, text_chars, CAST(tenths AS DOUBLE) / 10.0 AS chars_per_page, bytes >= {checks.HUGE_FROM} AS huge_pdf,
+  coalesce(pages > 0 AND tenths < 2000, false) AS likely_scanned FROM halves""",
     "page_density": """
 WITH halves AS (SELECT filename, pages, text_chars, CASE WHEN pages > 0 THEN (text_chars * 20 + pages) // (pages * 2) - CASE WHEN (text_chars * 20 + pages) % (pages * 2) = 0 AND ((text_chars * 20 + pages) // (pages * 2)) % 2 = 1 THEN 1 ELSE 0 END ELSE 0 END AS tenths FROM preflight)
 SELECT filename, pages, text_chars, CAST(tenths AS DOUBLE) / 10.0 AS chars_per_page, coalesce(pages > 0 AND tenths < 2000, false) AS likely_scanned FROM halves""",

@@ -26,7 +26,7 @@ EXAMPLE_ROWS = (
     ("example_second_2020.pdf", "Second Examiner", "Another title to replace", "2020", "", "Downloaded by hand", "An example without DOI"),
 )
 FOLDERS = ("data_dir", "raw_pdf_dir", "processed_dir", "markdown_dir", "json_dir", "tei_dir", "chunks_dir", "index_dir", "reports_dir", "exports_dir", "llm_export_dir")
-NO_FILES = "No PDFs found yet. Add your examiner publications to data/raw_pdfs/ and run scan-pdfs again."
+NO_FILES = "The folder of raw files holds no PDF."
 
 
 @dataclass
@@ -181,7 +181,7 @@ class Corpus:
     def chunk(self) -> Result:
         papers = self._papers()
         if papers.isEmpty():
-            return Result(["No processed JSON papers found yet. Add PDFs, run process, then run chunk again."])
+            return Result(["There are no processed papers to cut into chunks."])
         papers = reports.current(papers, self._current_ids())
         own = papers.select("file", F.posexplode(F.coalesce("sections", F.array())).alias("section_no", "s")).select("file", "section_no", "s.heading", "s.level", "s.page_start", "s.page_end", "s.text")
         cut = sections.chunks(own, "file", self.config.chunking.target_tokens, self.config.chunking.overlap_tokens)
@@ -224,24 +224,26 @@ class Corpus:
     def defense_prep(self) -> Result:
         path, chunks = f"{self._at('reports_dir')}/defense", self._chunks()
         names = ("examiner_overview", "theme_index", "method_index", "theory_index")
-        none = lambda: render.together(*[render.fixed(self.spark, n, 0, "# Not Enough Corpus Data Yet", "", "No chunks were found.") for n in names])
+        none = lambda: render.together(*[render.fixed(self.spark, n, 0, "# Nothing To Report", "", "The corpus has no chunks.") for n in names])
         writers.write_report(none() if chunks.isEmpty() else render.defense_reports(chunks, ["row_id"]), path)
         return Result([f"Wrote defense-prep output: {path}"])
 
-    def export_llm(self) -> Result:
+    def export_llm(self, prompt: str | None = None) -> Result:
+        """Chunks, overview and packs; with ``prompt``, also that text beside them, as a frame for questions."""
         options, folder = self.config.llm_export, self._at("llm_export_dir")
         chunks = staged(reports.exported(self._chunks(), options.include_references), "exported")
         rag = reports.rag_rows(chunks.drop("row_id"), options.include_full_chunk_text, options.max_chars_per_chunk)
         writers.write_jsonl(rag, f"{folder}/chunks_for_rag.jsonl")
         packs = render.examiner_packs(chunks, self._papers(), ["title", "chunk_index", "row_id"], options.max_chunks_per_examiner, options.max_chars_per_chunk)
-        writers.write_report(render.together(render.corpus_overview(chunks), render.prompt_template(self.spark), packs), f"{folder}/packs")
-        none = ["No chunks found yet. Run process and chunk before using the LLM exports."] if chunks.isEmpty() else []
+        frame = [render.fixed(self.spark, "llm_prompt_template", 0, *prompt.split("\n"))] if prompt else []
+        writers.write_report(render.together(render.corpus_overview(chunks), packs, *frame), f"{folder}/packs")
+        none = ["There are no chunks to export."] if chunks.isEmpty() else []
         return Result([*none, f"Wrote RAG export: {folder}/chunks_for_rag.jsonl", f"Wrote overview and packs: {folder}/packs"])
 
     def build_index(self) -> Result:
         chunks = self._chunks()
         if chunks.isEmpty():
-            return Result(["No chunks found. Run process and chunk before build-index."])
+            return Result(["There are no chunks to index."])
         if self.config.index.provider == "openai":
             return Result(["External embeddings are not made; use the local provider."])
         path, new = f"{self._at('index_dir')}/paper_chunks", vectors.build_index(chunks.drop("row_id"))
@@ -255,9 +257,9 @@ class Corpus:
         if not 1 <= n_results <= 20:
             raise ValueError("n_results must be from 1 to 20")
         if not readers.exists(self.spark, path):
-            return Result(["No index exists yet. Run build-index after processing PDFs."])
+            return Result(["There is no index to ask."])
         hits = vectors.hit_text(vectors.search(self.spark.read.parquet(path), question, n_results))
-        return Result([r["hit"] for r in hits.collect()] or ["No matching chunks found."])
+        return Result([r["hit"] for r in hits.collect()] or ["The index holds nothing."])
 
     def run_all(self) -> Result:
         done = Result()

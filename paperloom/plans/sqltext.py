@@ -81,3 +81,9 @@ def paper_id(table: str = "") -> str:
     name = f"CASE WHEN {title} = '' THEN {stem(blank_to(f'{t}filename', 'paper'))} ELSE {title} END"
     year = blank_to(strip(blank_to(f"{t}year", "unknown-year")), "unknown-year")
     return f"{slug(blank_to(f'{t}examiner', 'unknown-examiner'), 'unknown-examiner')} || '_' || {year} || '_' || {slug(name, 'paper')}"
+
+
+def rounded_up(x: str, y: str, power: int) -> str:
+    """The quotient of whole numbers times ``power``, rounded, halves to the even number."""
+    up = f"(({x}) * {2 * power} + ({y})) // (({y}) * 2)"
+    return f"({up} - CASE WHEN (({x}) * {2 * power} + ({y})) % (({y}) * 2) = 0 AND ({up}) % 2 = 1 THEN 1 ELSE 0 END)"

@@ -55,16 +55,21 @@ def read_enriched(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_papers(spark: SparkSession, folder: str) -> DataFrame:
-    """One row for each paper of the JSON files in ``folder``, with ``file``, the file's stem.
+    """One row for each paper of the table beside ``folder`` and of the JSON files in it, with ``file``,
+    the file's stem.
 
-    The paper's id is the stem if the file has none; of files with one id the last by name counts.
+    The paper's id is the stem if the file has none; of files with one id the last by name counts, and
+    before all files the row of the table.
     """
-    if not exists(spark, folder):
-        return spark.createDataFrame([], PAPER + ", file string")
-    rows = spark.read.schema(PAPER).json(folder, multiLine=True, pathGlobFilter="*.json")
-    rows = rows.withColumn("file", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", ""))
+    rows = spark.createDataFrame([], PAPER + ", file string, own boolean")
+    table = folder.rstrip("/") + ".jsonl"
+    if exists(spark, table):
+        rows = rows.unionByName(spark.read.schema(PAPER).json(table).withColumn("file", F.col("paper_id")).withColumn("own", F.lit(True)))
+    if exists(spark, folder):
+        single = spark.read.schema(PAPER).json(folder, multiLine=True, pathGlobFilter="*.json")
+        rows = rows.unionByName(single.withColumn("file", F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")).withColumn("own", F.lit(False)))
     rows = rows.withColumn("paper_id", F.coalesce(F.nullif("paper_id", F.lit("")), "file"))
-    last = rows.groupBy("paper_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c != "paper_id"]), "file").alias("row"))
+    last = rows.groupBy("paper_id").agg(F.max_by(F.struct(*[c for c in rows.columns if c not in ("paper_id", "own")]), F.struct("own", "file")).alias("row"))
     return last.select("paper_id", "row.*")
 
 

@@ -146,16 +146,6 @@ def examiner_packs(chunks: DataFrame, papers: DataFrame, order: list[str], most_
     )
 
 
-def prompt_template(spark: SparkSession) -> DataFrame:
-    """A frame for questions about a pack."""
-    return fixed(
-        spark, "llm_prompt_template", 0, "# LLM Prompt Template", "", "You help to prepare for the defense of a dissertation. Rely on the excerpts below alone.", "", "## Rules", "",
-        "- Name the questions and critical points that the examiner is likely to raise.", "- Give the chunk id, paper, section and file for every claim.",
-        "- Keep evidence and interpretation apart.", "- Add no details that the excerpts don't have.", "- Say what is missing where the evidence is thin.", "",
-        "## Question", "", "Which questions could this examiner ask, and which chunks support each of them?", "", "## Excerpts", "", "```text", "<a pack or chosen chunks>", "```",
-    )
-
-
 def quality_report(summary: DataFrame, alive: DataFrame, lists: dict[str, DataFrame]) -> DataFrame:
     """The summary row, whether the full-text service was there (the last paper's word), and a section
     for each list of (item)."""

@@ -70,12 +70,19 @@ def file_name(name: str, suffix: str) -> str:
     return name.encode()[:150].decode("utf-8", "ignore") + "-" + hashlib.sha256(name.encode()).hexdigest()[:16] + suffix
 
 
+def single_files(spark: SparkSession, folder: str) -> bool:
+    """Whether tasks can write single files: all run on this machine, and the folder is one of its own."""
+    return spark.sparkContext.master.startswith("local") and "://" not in folder.removeprefix("file://")
+
+
 def write_each(rows: DataFrame, folder: str, name: str, content: str, suffix: str) -> None:
-    """One file for each row, written by the tasks: ``content`` to ``folder/name + suffix``."""
+    """One file for each row, written by the tasks: ``content`` to ``folder/name + suffix``. On a cluster,
+    whose tasks share no local folder, the rows are JSON lines in ``folder/all.jsonl`` instead."""
     make_folder(rows.sparkSession, folder)
+    if not single_files(rows.sparkSession, folder):
+        rows.select(name, content).filter(F.col(content).isNotNull()).write.mode("overwrite").json(f"{folder}/all.jsonl")
+        return
     plain = folder.removeprefix("file://")
-    if "://" in plain:
-        raise ValueError("single files can be written to a mounted folder only; write the table as Parquet or JSON lines instead")
 
     def write(part):
         for row in part:
@@ -86,8 +93,17 @@ def write_each(rows: DataFrame, folder: str, name: str, content: str, suffix: st
     rows.select(name, content).foreachPartition(write)
 
 
+def paper_table(folder: str) -> str:
+    """Where the papers of a folder are as one table."""
+    return folder.rstrip("/") + ".jsonl"
+
+
 def write_papers(papers: DataFrame, folder: str) -> None:
-    """The JSON document of each paper, indented, under its id."""
+    """All papers as a table of JSON lines, which the later stages read, beside ``folder``; on a single
+    machine also the JSON document of each paper, indented, under its id."""
+    write_jsonl(papers.drop("file"), paper_table(folder))
+    if not single_files(papers.sparkSession, folder):
+        return
     shown = papers.select("paper_id", F.to_json(F.struct(*[c for c in papers.columns if c != "file"]), {"pretty": "true", "ignoreNullFields": "false"}).alias("json"))
     write_each(shown, folder, "paper_id", "json", ".json")
 
@@ -95,9 +111,10 @@ def write_papers(papers: DataFrame, folder: str) -> None:
 def write_report(lines: DataFrame, folder: str) -> None:
     """(report, place, line): a text of its lines, in the order of ``place``, for each report.
 
-    Each is a folder ``report=NAME`` of text parts, so a report of any size is written by the tasks.
+    Each is a folder ``report=NAME`` of text parts, to be read in the order of their names, so a report
+    of any size is written by many tasks.
     """
-    lines.repartition("report").sortWithinPartitions("report", "place").select("report", "line").write.mode("overwrite").partitionBy("report").text(folder)
+    lines.repartitionByRange("report", "place").sortWithinPartitions("report", "place").select("report", "line").write.mode("overwrite").partitionBy("report").text(folder)
 
 
 def write_warnings(notes: DataFrame, folder: str) -> int:

@@ -2,11 +2,12 @@
 
 import random
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from paperloom.functions.tokens import STOPWORDS
+from paperloom.functions.tokens import STOPWORDS, rounded
 from paperloom.operators import conversion, manifest, preflight, reports, terms, vectors
 
 CHUNK = "row_id long, chunk_id string, paper_id string, examiner string, title string, year int, doi string, source_pdf string, section string, chunk_index int, text string"
@@ -75,10 +76,11 @@ def test_report_tables_of_empty_corpus(spark):
     assert terms.frequent_terms(empty, ["row_id"]).count() == reports.select_chunks(empty).count() == terms.section_counts(empty, ["row_id"]).count() == 0
 
 
-def test_tenths_round_half_even(spark):
-    rows = [(9, 4), (11, 4), (1, 3), (2, 3), (0, 5), (5, 0)]
-    got = [r[0] for r in spark.createDataFrame(rows, "a long, b long").select(reports.tenths(F.col("a"), F.col("b"))).collect()]
-    assert got == [round(a / b, 1) if b else 0.0 for a, b in rows]
+def test_round_half_even(spark):
+    rows = [(9, 4), (11, 4), (1, 3), (2, 3), (0, 5), (5, 0), (9, 8), (2**60 // 100, 7)]
+    for digits in (1, 2):
+        got = [r[0] for r in spark.createDataFrame(rows, "a long, b long").select(rounded(F.col("a"), F.col("b"), digits)).collect()]
+        assert got == [float(round(Fraction(a, b), digits)) if b else 0.0 for a, b in rows]
 
 
 def test_references_excluded_and_excerpts(spark):

@@ -108,12 +108,12 @@ def test_preflight_index_query(corpus):
 def test_empty_corpus(spark, tmp_path):
     made = Corpus(spark, Config(project_root=tmp_path), [], read_documents)
     done = made.run_all()
-    assert any("No PDFs found" in m for m in done.messages) and any("No chunks found" in m for m in done.messages)
+    assert any("no PDF" in m for m in done.messages) and any("no chunks" in m for m in done.messages)
     assert readers.read_manifest(spark, f"file://{tmp_path}/data/manifest.csv").count() == 2
     assert made.validate_manifest().rows.first()["validation_warnings"].startswith("raw_pdf_dir empty")
     enriched = readers.read_enriched(spark, f"file://{tmp_path}/data/processed/manifest_enriched.csv")
     assert enriched.count() == 2 and enriched.columns[-1] == "validation_warnings" and enriched.first()["exists"] == "false"
-    assert "Not Enough Corpus Data" in report(tmp_path, "data/reports/defense", "theme_index")
+    assert "Nothing To Report" in report(tmp_path, "data/reports/defense", "theme_index")
 
 
 def test_manifest_file(spark, tmp_path):

@@ -1,39 +1,40 @@
-"""Sections, blocks and chunks against state machines written from their rules."""
+"""Sections of texts written by hand; blocks and chunks against plain Python."""
 
 import random
-import re
 
 from pyspark.sql import functions as F
 
 from paperloom.operators import sections
 
 LINES = ["text here", "# Head", "## Sub head ", "1. Introduction", "1 . Background", "2.1. Data and Methods", "References", "Abstract.", "appendix", "Appendix", "", "", "  ", "|a|b|", "| c |", "12345678. Long number text", "1 footnote text"]
-NAMES = set(sections.SECTION_NAMES)
-
-
-def python_sections(text):
-    out, heading, level, own = [], "Body", 1, []
-
-    def flush():
-        body = "\n".join(own).strip()
-        if body or not out:
-            out.append((f"sec_{len(out) + 1:04d}", heading, level, body))
-
-    for line in text.splitlines():
-        mark = re.match(r"^(#{1,6})\s+(.+?)\s*$", line)
-        plain = line.strip()
-        name = plain.lower().strip(".")
-        number = re.match(r"^(?:[1-9]|[1-9]\d)\s*\.\s*(?:\d+\s*\.\s*)*[A-Z][A-Za-z0-9,;:()/%&\- ]{2,100}$", plain)
-        late = own and not own[-1].strip() and name in sections.LATE_NAMES
-        if mark or plain and ((name in NAMES and len(plain) <= 60) or number or late):
-            flush()
-            own = []
-            dots = re.match(r"^((?:\d+\s*\.\s*)+)", plain)
-            heading, level = (mark.group(2).strip(), len(mark.group(1))) if mark else (plain, min(6, max(1, dots.group(1).count("."))) if dots else 1)
-        else:
-            own.append(line)
-    flush()
-    return [s for s in out if s[3]]
+#: Texts, and the (number, heading, level, text) of their sections.
+CASES = [
+    ("", []),
+    (None, []),
+    ("\n \n", []),
+    ("only text\nof two lines ", [(1, "Body", 1, "only text\nof two lines")]),
+    ("# Only a head", []),
+    ("# First\n\n## Second ##\ntext\n\nmore\n", [(2, "Second ##", 2, "text\n\nmore")]),
+    ("before\n###### Deep \n one \n####### no head", [(1, "Body", 1, "before"), (2, "Deep", 6, "one \n####### no head")]),
+    ("Abstract.\na\nREFERENCES\nb\nabstract of it\nc", [(2, "Abstract.", 1, "a"), (3, "REFERENCES", 1, "b\nabstract of it\nc")]),
+    ("1. Introduction\na\n2.1. Data and Methods\nb\n1 . Background\nc", [(2, "1. Introduction", 1, "a"), (3, "2.1. Data and Methods", 2, "b"), (4, "1 . Background", 1, "c")]),
+    ("12345678. Long number text\n1 footnote text\n3. lower case", [(1, "Body", 1, "12345678. Long number text\n1 footnote text\n3. lower case")]),
+    ("a\nAppendix\nb\n\nAppendix\nc", [(1, "Body", 1, "a\nAppendix\nb"), (2, "Appendix", 1, "c")]),
+    ("Appendix\na\n# Head\nappendix\nb", [(1, "Body", 1, "Appendix\na"), (2, "Head", 1, "appendix\nb")]),
+    ("# Head\n\nAcknowledgements\nthanks", [(2, "Acknowledgements", 1, "thanks")]),
+    ("---\ntitle: x\n---\n\nBody text\r\n# Head\x0ctail", [(1, "Body", 1, "Body text"), (2, "Head", 1, "tail")]),
+    ("---\nno end\n# Head\na", [(1, "Body", 1, "---\nno end"), (2, "Head", 1, "a")]),
+]
+
+
+def test_sections_of_written_texts(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CASES)], "doc_id int, text string").withColumn("heading", F.lit("clash"))
+    got = {}
+    for r in sections.sections(df, "doc_id").orderBy("doc_id", "section_no").collect():
+        got.setdefault(r["doc_id"], []).append((r["section_no"], r["heading"], r["level"], r["text"]))
+        assert r["section_id"] == f"sec_{r['section_no']:04d}" and r["page_start"] is None
+    for i, (text, want) in enumerate(CASES):
+        assert got.get(i, []) == want, text
 
 
 def python_blocks(text):
@@ -71,20 +72,20 @@ def test_sections_blocks_chunks(spark):
     texts = documents()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").withColumn("heading", F.lit("clash")).withColumn("line", F.lit("clash"))
     made = sections.sections(df, "doc_id").cache()
-    got, blocks, chunked = {}, {}, {}
+    parts, blocks = {}, {}
     for r in made.orderBy("doc_id", "section_no").collect():
-        got.setdefault(r["doc_id"], []).append((r["section_id"], r["heading"], r["level"], r["text"]))
+        parts.setdefault(r["doc_id"], []).append(r["text"])
     for r in sections.blocks(made.select("doc_id", "section_no", "text"), ["doc_id", "section_no"]).orderBy("doc_id", "section_no", "block_no").collect():
         blocks.setdefault((r["doc_id"], r["section_no"]), []).append(r["text"])
     for target, overlap in ((6, 2), (6, 0), (900, 120)):
-        chunked = {}
-        for r in sections.chunks(made, "doc_id", target, overlap).orderBy("doc_id", "chunk_index").collect():
-            chunked.setdefault(r["doc_id"], []).append((r["text"], r["token_count_estimate"]))
-        for i, text in enumerate(texts):
-            plain = (text or "").removeprefix("---\ntitle: x\n---\n\n")
-            want = python_sections(plain)
-            assert got.get(i, []) == want, (i, text)
-            assert chunked.get(i, []) == [c for s in want for c in python_chunks(python_blocks(s[3]), target, overlap)]
+        ways = sections.chunks(made, "doc_id", target, overlap), sections.chunks_of_texts(df, "doc_id", "text", target, overlap)
+        for way in ways:
+            chunked = {}
+            for r in way.orderBy("doc_id", "chunk_index").collect():
+                chunked.setdefault(r["doc_id"], []).append((r["text"], r["token_count_estimate"]))
+            for i in range(len(texts)):
+                assert chunked.get(i, []) == [c for s in parts.get(i, []) for c in python_chunks(python_blocks(s), target, overlap)]
+        assert sorted(map(str, ways[0].collect())) == sorted(map(str, ways[1].select(ways[0].columns).collect()))
     for r in made.collect():
         assert blocks[(r["doc_id"], r["section_no"])] == python_blocks(r["text"])
 
