@@ -123,26 +123,26 @@ def useful_source(source: Column, title: Column, surnames: tuple[str, ...] = ())
     return ~F.coalesce(reduce(or_, bad), F.lit(True))
 
 
-def find_source(info: Column, text: Column, title: Column, surnames: tuple[str, ...] = ()) -> Column:
-    """The subject up to a comma, else the creator, else the first line that names a journal."""
+def find_source(info: Column, text: Column, title: Column, surnames: tuple[str, ...] = (), patterns: tuple[str, ...] = ()) -> Column:
+    """The subject up to a comma, else the creator, else the first line that names a journal; of a line
+    that one of ``patterns`` is found in, that part alone."""
     subject = strip(F.split(_or_blank(F.try_element_at(info, F.lit("Subject"))), ",").getItem(0))
     creator = strip(_or_blank(F.try_element_at(info, F.lit("Creator"))))
     useful = lambda x: let(x, lambda s: F.when(useful_source(s, title, surnames), s))
 
     def candidate(line):
         line = collapse(line)
-        policy = F.regexp_extract(line, r"(J\s+Consum\s+Policy\s+\([0-9]{4}\).*)", 1)
-        return F.coalesce(F.nullif(policy, F.lit("")), line)
+        return F.coalesce(*[F.nullif(F.regexp_extract(line, p, 0), F.lit("")) for p in patterns], line)
 
     near = F.transform(F.slice(lines(_or_blank(text)), 1, SOURCE_LINES), candidate)
     fit = F.filter(near, lambda x: useful_source(x, title, surnames) & contains_any(F.lower(x), TEXT_SOURCE_WORDS) & ~F.startswith(F.lower(x), F.lit("contents lists")))
     return F.coalesce(useful(subject), useful(creator), _first(fit))
 
 
-def paper_metadata(info: Column, text: Column, surnames: tuple[str, ...] = ()) -> Column:
+def paper_metadata(info: Column, text: Column, surnames: tuple[str, ...] = (), patterns: tuple[str, ...] = ()) -> Column:
     """struct(title, year, doi, source) from a map of information fields and the first pages' text."""
     searched = F.concat_ws("\n", F.array_join(F.map_values(info), "\n", ""), _or_blank(text))
     title = let(clean_title(F.try_element_at(info, F.lit("Title"))), lambda t: F.when(t != "", t).otherwise(title_of_text(text)))
     return let(title, lambda t: F.struct(
-        t.alias("title"), find_year(info, text).alias("year"), find_doi(searched).alias("doi"), find_source(info, text, t, surnames).alias("source")
+        t.alias("title"), find_year(info, text).alias("year"), find_doi(searched).alias("doi"), find_source(info, text, t, surnames, patterns).alias("source")
     ))

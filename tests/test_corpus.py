@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.tokens import STOPWORDS, rounded
 from paperloom.operators import conversion, manifest, preflight, reports, terms, vectors
+from paperloom.sources.readers import exists
+from paperloom.storage import discard, staged
 
 CHUNK = "row_id long, chunk_id string, paper_id string, examiner string, title string, year int, doi string, source_pdf string, section string, chunk_index int, text string"
 
@@ -188,3 +190,11 @@ def test_conversion_fallbacks(spark):
     layout, text = (spark.createDataFrame(rows, "filename string, markdown string") for rows in ([("a", "short"), ("b", "long enough")], [("a", "with References"), ("b", "x")]))
     better = {r["filename"]: r for r in conversion.better_of(layout, text).collect()}
     assert better["a"]["tool"] == "pypdfium2-text" and better["a"]["fallback_used"] and better["b"]["tool"] == "docling"
+
+
+def test_staged_tables_are_discarded(spark):
+    one, two = (staged(spark.range(n), "numbers") for n in (5, 7))
+    path = one.inputFiles()[0]
+    assert exists(spark, path)
+    discard(one.select("id"))
+    assert not exists(spark, path) and two.count() == 7
