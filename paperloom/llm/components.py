@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.storage import staged
+from paperloom.storage import discard, staged
 
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
@@ -22,7 +22,9 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         up = labels.select(F.col("node").alias("label"), F.col("component").alias("up"))
         stepped = staged(stepped.join(up, "label", "left").select("node", "before", F.least("label", F.coalesce("up", "label")).alias("component")), "labels")
         changed = stepped.filter(F.col("before") != F.col("component")).limit(1).count()
+        discard(labels)
         labels = stepped.select("node", "component")
         if not changed:
+            discard(both)
             return labels
     raise RuntimeError(f"components did not settle in {rounds} rounds")

@@ -170,3 +170,19 @@ def pack(sizes: DataFrame, containers: DataFrame, bins_per_task: int = BINS_PER_
 def pack_texts(documents: DataFrame, containers: DataFrame, path: str | None = None) -> DataFrame:
     """``pack`` of a table of texts, measured with the tokenizer file at ``path``."""
     return pack(staged(count_tokens(documents, path=path), "token-counts"), containers)
+
+
+def rule_report(packed: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(container_kind, texts, over_full, three_large, wrongly_divided): the different texts packed, the
+    containers above their capacity, those with more than two items above a third of it, and the texts
+    whose parts are not as many and as long as they must be, for unique ids."""
+    kinds = ["container_kind", "capacity_tokens"]
+    large = F.count_if(F.col("tokens") * 3 > F.col("capacity_tokens"))
+    bins = packed.groupBy(*kinds, "bin_id").agg(F.sum("tokens").alias("load"), large.alias("large"))
+    bins = bins.groupBy("container_kind").agg(F.count_if(F.col("load") > F.col("capacity_tokens")).alias("over_full"), F.count_if(F.col("large") > 2).alias("three_large"))
+    n, c = F.coalesce(F.col("size"), F.lit(0)), F.col("capacity_tokens")
+    texts = packed.groupBy(*kinds, "doc_id").agg(F.count("*").alias("parts"), F.count_distinct("token_start").alias("starts"), F.sum("tokens").alias("packed"))
+    texts = texts.join(sizes.select("doc_id", F.col("tokens").alias("size")), "doc_id", "left")
+    wrong = (F.col("packed") != n) | (F.col("parts") != F.greatest(F.lit(1), F.ceil(n / c))) | (F.col("starts") != F.col("parts"))
+    texts = texts.groupBy("container_kind").agg(F.count("*").alias("texts"), F.count_if(wrong).alias("wrongly_divided"))
+    return bins.join(texts, "container_kind").select("container_kind", "texts", "over_full", "three_large", "wrongly_divided")

@@ -84,6 +84,12 @@ def p6_containers(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_texts(_texts(spark, folder, "documents", "doc_id", "text"), _table(spark, folder, "containers"))
 
 
+def p6_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """For each kind of container, how many texts are packed and how many things are against the rules."""
+    counts = staged(packing.count_tokens(_texts(spark, folder, "documents", "doc_id", "text")), "token-counts")
+    return packing.rule_report(packing.pack(counts, _table(spark, folder, "containers")), counts)
+
+
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.leaked_items(_texts(spark, folder, "documents", "doc_id", "text"), _table(spark, folder, "eval_items")).select("doc_id", "item_id")
 
@@ -110,7 +116,7 @@ def p8_segments(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         p1_found, p1_term_frequency, p2_found, p2_blocks, p2_clean_texts, p3_found, p3_survivors, p4_found, p4_entities,
-        p6_containers, p7_found, p7_clean_texts, p8_found, p8_segments,
+        p6_containers, p6_rules, p7_found, p7_clean_texts, p8_found, p8_segments,
     )
     return {f.__name__: f for f in own}
 
@@ -155,6 +161,8 @@ _GRAMS = r"""
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p6_rules": """
+SELECT container_kind, (SELECT count(DISTINCT doc_id) FROM documents) AS texts, 0::BIGINT AS over_full, 0::BIGINT AS three_large, 0::BIGINT AS wrongly_divided FROM containers""",
         "p7_found": f"SELECT DISTINCT doc_id, item_id FROM ({_GRAMS.format(id='doc_id', table='documents')}) JOIN ({_GRAMS.format(id='item_id', table='eval_items')}) USING (gram)",
         "p1_found": _TERMS + "SELECT field, term, mark FROM marked WHERE mark IS NOT NULL",
         "p1_term_frequency": _TERMS + "SELECT field, term, occurrences, records, mark FROM marked",

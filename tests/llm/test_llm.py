@@ -432,6 +432,11 @@ def test_pack(spark):
                 assert sum(r["tokens"] for r in mine) == (n or 0) and len(mine) == max(1, -(-(n or 0) // capacity)) and all(r["parts"] == len(mine) for r in mine)
                 assert [r["token_start"] for r in mine] == [i * capacity for i in range(len(mine))]
         assert len(parts[5]) == 1 + sum(max(1, -(-n // capacity)) for d, n in sizes if d == 5) - 1 or len(parts[5]) >= 2
+    once = df.filter("doc_id <> 5")
+    packed = packing.pack(once, kinds, bins_per_task=40)
+    assert sorted(map(tuple, packing.rule_report(packed, once).collect())) == [("a", 400, 0, 0, 0), ("b", 400, 0, 0, 0)]
+    spoiled = packed.withColumn("bin_id", F.lit("x")).withColumn("tokens", F.col("tokens") + (F.col("doc_id") == 7).cast("int"))
+    assert [tuple(r)[2:] for r in packing.rule_report(spoiled, once).collect()] == [(1, 1, 1)] * 2
     assert packing.pack(df.limit(0), kinds).count() == 0 and packing.pack(df, kinds.limit(0)).count() == 0
 
 
