@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.functions import checks, clean, tokens
+from paperloom.functions import checks, clean, pdfinfo, tokens
 from paperloom.functions.pdfinfo import find_doi, paper_metadata
 from paperloom.functions.unicode import blank_to
 from paperloom.operators import reports, sections, terms, vectors
@@ -285,6 +285,51 @@ block_lines AS (
 )"""
 
 
+def _clean_title(x: str) -> str:
+    spaced = f"regexp_replace({x}, '([\\pL\\pN\\pM_])_{q.SPACE}+([A-Z])', '\\1: \\2', 'g')"
+    for _ in range(2):
+        spaced = f"regexp_replace({spaced}, '([\\pL\\pN\\pM])_+([\\pL\\pN\\pM])', '\\1 \\2', 'g')"
+    return q.collapse(spaced)
+
+
+def _ends_title(x: str) -> str:
+    low = f"lower({q.strip(x)})"
+    return f"""({low} IN ({q.quoted(*pdfinfo.STOP_LINES)}) OR {q.any_of(low, pdfinfo.STOP_PARTS)} OR regexp_full_match({q.strip(x)}, '[0-9]{{1,2}}{q.SPACE}+[A-Z][a-z]+{q.SPACE}+[0-9]{{4}}')
+      OR regexp_matches({x}, '\\A[A-Z]\\.{q.SPACE}+[A-Z][A-Za-z-]+') OR (contains({x}, ' & ') AND NOT {q.any_of(low, checks.JOURNAL_WORDS)}) OR regexp_matches({x}, '{q.SPACE}[n∗*]{q.SPACE}*\\z'))"""
+
+
+def _useful_source(x: str, title: str) -> str:
+    low, head, name = f"lower({x})", f"lower({q.strip(title)})", "[A-Z][A-Za-z-]+"
+    journal = q.any_of(low, checks.JOURNAL_WORDS)
+    return f"""(length({x}) BETWEEN 4 AND 120 AND NOT (regexp_matches({x}, '\\A{q.SPACE}*,') OR regexp_matches(left({x}, 1), '\\p{{Ll}}') OR {q.any_of(low, pdfinfo.NOT_TITLE)} OR {_ends_title(x)}
+      OR {low} IN ('abstract', 'article history:') OR starts_with({low}, 'keywords') OR starts_with({x}, '#') OR {q.any_of(low, ("all rights reserved", "copyright", *pdfinfo.BAD_SOURCE))}
+      OR (NOT {journal} AND (contains({x}, ' & ') OR regexp_full_match({x}, '{name}(?:{q.SPACE}+{name}){{1,3}}'))) OR ({head} <> '' AND (contains({head}, {low}) OR contains({low}, {head})))))"""
+
+
+_YEAR = "nullif(regexp_extract({0}, '(?:^|[^\\pL\\pN\\pM_])(19[0-9]{{2}}|20[0-9]{{2}}|2100)(?:[^\\pL\\pN\\pM_]|$)', 1), '')"
+_DOI = r"rtrim(regexp_extract(regexp_replace({0}, '(?i)doi\s*:\s*', 'doi:', 'g'), '\b(10\.[0-9]{{4,9}}/[-._;()/:A-Za-z0-9]+)', 1), '.,;:)]}}')"
+_METADATA = f"""
+WITH first AS (
+  SELECT filename, text FROM (SELECT source_pdf AS filename, text, row_number() OVER (PARTITION BY source_pdf ORDER BY chunk_index NULLS FIRST, row_id) AS place FROM chunks) WHERE place = 1
+), own AS (
+  SELECT row_id, coalesce(title, '') AS given, coalesce(source, '') AS subject, coalesce(doi, '') AS creator, coalesce(text, '') AS text FROM manifest LEFT JOIN first USING (filename)
+), split AS (SELECT *, {q.lines("text")} AS ls FROM own
+), tried AS (
+  SELECT *, list_filter(list_filter(list_transform(ls, lambda x: {q.collapse("x")}), lambda x: x <> '')[1:{pdfinfo.TITLE_LINES}], lambda x: NOT {q.any_of("lower(x)", pdfinfo.NOT_TITLE)}) AS t FROM split
+), ended AS (SELECT *, list_transform(t[1:3], lambda x: {_ends_title("x")}) AS e FROM tried
+), taken AS (
+  SELECT *, CASE WHEN len(t) = 0 THEN 0 WHEN len(t) = 1 OR length(t[1]) > {pdfinfo.LONG_TITLE} OR e[2] THEN CASE WHEN e[1] THEN 0 ELSE 1 END
+    WHEN len(t) = 2 OR length(t[1] || ' ' || t[2]) > {pdfinfo.LONG_TITLE} OR e[3] THEN 2 ELSE 3 END AS n FROM ended
+), cleaned AS (SELECT *, {_clean_title("given")} AS a, {_clean_title("array_to_string(t[1:n], ' ')")} AS b FROM taken
+), titled AS (
+  SELECT *, CASE WHEN length(a) >= 8 AND NOT {q.any_of("lower(a)", pdfinfo.BAD_TITLE)} THEN a WHEN length(b) >= 8 AND NOT {q.any_of("lower(b)", pdfinfo.BAD_TITLE)} THEN b ELSE '' END AS title FROM cleaned
+), sourced AS (
+  SELECT *, {q.strip("string_split(subject, ',')[1]")} AS s, {q.strip("creator")} AS c,
+    list_filter(list_transform(ls[1:{pdfinfo.SOURCE_LINES}], lambda x: {q.collapse("x")}), lambda x: {_useful_source("x", "title")} AND {q.any_of("lower(x)", pdfinfo.TEXT_SOURCE_WORDS)} AND NOT starts_with(lower(x), 'contents lists'))[1] AS line FROM titled
+)
+SELECT row_id, title, coalesce({_YEAR.format("subject")}, {_YEAR.format("given")}, {_YEAR.format(f"left(text, {pdfinfo.YEAR_CHARACTERS})")}, '') AS year,
+  {_DOI.format("given || chr(10) || subject || chr(10) || creator || chr(10) || text")} AS doi,
+  CASE WHEN {_useful_source("s", "title")} THEN s WHEN {_useful_source("c", "title")} THEN c ELSE coalesce(line, '') END AS source FROM sourced"""
 _WRAP = r"""regexp_replace({0}, '(^|[^<(\pL\pN_])(https?://[^\s<>)]*?)([.,;:\]]*)([\s<>)]|$)', '\1<\2>\3\4', 'g')"""
 _TEXTS = "SELECT doc_id, {} AS text FROM documents"
 _HAS = "contains(lower(coalesce(text, '')), 'references')"
@@ -386,6 +431,7 @@ sized AS (SELECT *, {q.words("text")} AS words FROM blocks
 )
 SELECT doc_id, heading AS section, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section_no, block_no) AS INTEGER) AS chunk_index, c.text AS text, CAST(greatest(1, words * 5 // 4) AS BIGINT) AS tokens
 FROM chunked c JOIN sectioned USING (doc_id, section_no)""",
+    "extracted_metadata": _METADATA,
     "found_dois": r"SELECT row_id, rtrim(regexp_extract('see doi:' || coalesce(doi, '') || '). ' || coalesce(title, ''), '\b(10\.\d{4,9}/[-._;()/:A-Za-z0-9]+)', 1), '.,;:)]}') AS doi FROM manifest",
     "nearest_vectors": """
 WITH pairs AS (
