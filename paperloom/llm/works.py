@@ -62,30 +62,32 @@ def usable_year(year: Column) -> Column:
     return F.when(number.between(1500, 2200), number)
 
 
-def _evident_year(filename: Column, year: Column) -> Column:
-    """The year in the file's name, else in the year field, else -1."""
+def _evident_year(name: Column, year: Column) -> Column:
+    """The year in the name of a file, else in the year field, else -1."""
     pattern = r"(?<![0-9])((?:1[5-9]|20|21)[0-9]{2})(?![0-9])"
-    parts = [F.regexp_extract(F.element_at(F.split(filename, "/"), -1), pattern, 1), F.regexp_extract(year.cast("string"), pattern, 1)]
+    parts = [F.regexp_extract(name, pattern, 1), F.regexp_extract(year.cast("string"), pattern, 1)]
     return F.coalesce(*[F.nullif(p, F.lit("")).cast("int") for p in parts], F.lit(-1))
 
 
 def described(manifest: DataFrame) -> DataFrame:
-    """The rows with their usable values and the words and year by which titles are linked."""
-    stem = F.regexp_replace(F.element_at(F.split("filename", "/"), -1), r"\.[^.]*$", "")
-    lower = F.regexp_replace(F.lower(F.trim("title")), _DECORATION, "")
-    cut = lower.rlike(r"(?:\.\.\.|…)\s*$")
-    words = F.regexp_extract_all(lower, F.lit(r"([\p{L}\p{N}]+)"), 1)
-    open_end = cut & ~lower.rlike(r"[^\p{L}\p{N}.…](?:\.{3,}|…)+\s*$")
-    words = F.when(open_end, F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(words)
-    from_file = F.trim("title") == F.trim(F.translate(stem, "_-", "  "))
-    title = F.when(F.trim("title") != "", F.col("title"))
-    words = F.when(title.isNotNull() & ~F.coalesce(from_file, F.lit(False)), words)
-    return manifest.select(
-        "row_id", "filename", title.alias("title"), usable_doi(F.col("doi")).alias("doi"), usable_year(F.col("year")).alias("year"), "scanned_at",
-        F.lower(F.regexp_replace(F.coalesce("source", F.lit("")), r"[^\p{L}]", "")).alias("source_key"),
-        F.lower(F.regexp_replace(F.coalesce("examiner", F.lit("")), r"[^\p{L}]", "")).alias("examiner_key"),
-        F.coalesce("notes", F.lit("")).alias("notes"), _evident_year(F.col("filename"), F.col("year")).alias("evident_year"),
-        F.when(F.size(words) > 0, words).alias("words"), F.coalesce(cut, F.lit(False)).alias("cut"),
+    """The rows with their usable values and the words and year by which titles are linked. Each step is
+    a projection of its own, so that none is computed more than once."""
+    own = manifest.select("row_id", "filename", "scanned_at", "notes", "source", "examiner", F.col("title").alias("given"), F.col("year").alias("given_year"), F.col("doi").alias("given_doi"))
+    own = own.withColumn("plain", F.trim("given")).withColumn("last", F.element_at(F.split("filename", "/"), -1))
+    own = own.withColumn("lower", F.when(F.col("plain") != "", F.regexp_replace(F.lower("plain"), _DECORATION, "")))
+    own = own.withColumn("bare", F.rtrim(F.col("lower"), F.lit(" \t\n\r\x0b\x0c")))
+    own = own.withColumn("cut", F.coalesce(F.endswith("bare", F.lit("...")) | F.endswith("bare", F.lit("…")), F.lit(False)))
+    own = own.withColumn("found", F.regexp_extract_all("lower", F.lit(r"([\p{L}\p{N}]+)"), F.lit(0)))
+    stem = F.regexp_replace("last", r"\.[^.]*$", "")
+    from_file = F.coalesce(F.col("plain") == F.trim(F.translate(stem, "_-", "  ")), F.lit(False))
+    whole_end = F.rtrim(F.col("bare"), F.lit(".…")).rlike(r"[^\p{L}\p{N}]\z")
+    kept = F.size("found") - F.when(F.col("cut") & ~whole_end, 1).otherwise(0)
+    own = own.withColumn("words", F.when(~from_file & (kept > 0), F.slice("found", F.lit(1), kept)))
+    return own.select(
+        "row_id", "filename", F.when(F.col("plain") != "", F.col("given")).alias("title"), usable_doi(F.col("given_doi")).alias("doi"), usable_year(F.col("given_year")).alias("year"), "scanned_at",
+        F.lower(F.regexp_replace(F.coalesce("source", F.lit("")), r"[^\p{L}]+", "")).alias("source_key"),
+        F.lower(F.regexp_replace(F.coalesce("examiner", F.lit("")), r"[^\p{L}]+", "")).alias("examiner_key"),
+        F.coalesce("notes", F.lit("")).alias("notes"), _evident_year(F.col("last"), F.col("given_year")).alias("evident_year"), "words", "cut",
     ).withColumn("node", F.when(F.col("words").isNotNull(), F.xxhash64("evident_year", "words", "cut")))
 
 
