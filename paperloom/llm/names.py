@@ -23,6 +23,8 @@ from paperloom.storage import staged
 
 #: Share of the lighter form's q-grams, by weight, that must be among the other's, and letters of a q-gram.
 LEAST_SHARED, Q = 1 / 4, 3
+#: Share of a form's weight that its q-grams may have which are not looked up.
+UNPROBED = 0.2
 #: Soft similarity from which forms are linked, and edits allowed between them.
 LEAST_SIMILARITY = 0.75
 MOST_EDITS = {"person": 2, "journal": 4}
@@ -176,9 +178,9 @@ def candidates(forms: DataFrame) -> DataFrame:
     common with the other.
 
     A q-gram weighs the more the fewer forms have it, in bits, and nothing if one has it. The lighter
-    form's heaviest q-grams, so many that what is left weighs less than it must share, are looked up
-    among all q-grams of the other, so those that many forms have are hardly ever looked up; then the
-    shared ones are weighed.
+    form's heaviest q-grams, all but ``UNPROBED`` of its weight, are looked up among those of the other,
+    so q-grams that many forms have are hardly ever looked up. Pairs that could not share enough with
+    what was not looked up are dropped, and of the rest all shared q-grams are weighed.
     """
     padded = F.transform(F.split("form", " "), lambda t: F.concat(F.lit("^"), t, F.lit("$")))
     grams = F.flatten(F.transform(padded, lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - (Q - 1))), lambda i: F.substr(t, i, F.lit(Q)))))
@@ -190,17 +192,17 @@ def candidates(forms: DataFrame) -> DataFrame:
     gram = F.struct("weight", "gram")
     own = weighed.groupBy("field", "id").agg(F.sort_array(F.collect_list(gram), asc=False).alias("grams"), F.sum("weight").alias("size"))
     own = staged(own, "name-weights")
-    before = F.aggregate(F.slice("grams", 1, F.col("at")), F.lit(0.0), lambda s, g: s + g["weight"])
+    parts = int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    running = F.aggregate(F.slice("grams", 1, F.col("at")), F.lit(0.0), lambda s, g: s + g["weight"])
     probe = own.select("field", F.col("id").alias("a"), F.col("size").alias("size_a"), "grams", F.explode(F.sequence(F.lit(0), F.size("grams") - 1)).alias("at"))
-    probe = probe.filter(before <= F.col("size_a") * (1 - LEAST_SHARED)).select("field", "a", "size_a", F.get("grams", F.col("at"))["gram"].alias("gram"))
+    probe = probe.filter(running <= F.col("size_a") * (1 - UNPROBED)).select("field", "a", "size_a", F.get("grams", F.col("at")).alias("g")).select("field", "a", "size_a", "g.gram", "g.weight")
     index = own.select("field", F.col("id").alias("b"), F.col("size").alias("size_b"), F.explode("grams").alias("g")).select("field", "b", "size_b", F.col("g.gram").alias("gram"))
-    parts = int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lighter = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
-    pairs = probe.repartition(parts, "field", "gram").join(index, ["field", "gram"]).filter(lighter).select("field", "a", "b").distinct()
-    a = own.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"), F.col("size").alias("size_a"))
-    b = own.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
+    pairs = probe.repartition(parts, "field", "gram").join(index, ["field", "gram"]).filter(lighter).groupBy("field", "a", "b", "size_a").agg(F.sum("weight").alias("found"))
+    pairs = pairs.filter(F.col("found") >= F.col("size_a") * (LEAST_SHARED - UNPROBED) - 1e-6).select("field", "a", "b", "size_a")
+    sides = [own.select(F.col("id").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab"]
     shared = F.aggregate(F.array_intersect("grams_a", "grams_b"), F.lit(0.0), lambda s, g: s + g["weight"])
-    return pairs.join(a, "a").join(b, "b").filter(shared >= F.col("size_a") * LEAST_SHARED).select("field", "a", "b")
+    return pairs.join(sides[0], "a").join(sides[1], "b").filter(shared >= F.col("size_a") * LEAST_SHARED).select("field", "a", "b")
 
 
 def token_facts(spelled: DataFrame) -> DataFrame:
