@@ -25,6 +25,8 @@ from paperloom.storage import staged
 LEAST_SHARED, Q = 1 / 4, 3
 #: Share of a form's weight that its q-grams may have which are not looked up.
 UNPROBED = 0.2
+#: Low bits of a q-gram's code that hold its weight, in thousandths of a bit; the others are of its hash.
+WEIGHT_BITS = 16
 #: Soft similarity from which forms are linked, and edits allowed between them.
 LEAST_SIMILARITY = 0.75
 MOST_EDITS = {"person": 2, "journal": 4}
@@ -187,21 +189,22 @@ def candidates(forms: DataFrame) -> DataFrame:
     each = staged(forms.select("field", "id", F.explode(F.array_distinct(grams)).alias("gram")), "name-grams")
     totals = forms.groupBy("field").agg(F.count("*").alias("forms"))
     often = each.groupBy("field", "gram").agg(F.count("*").alias("df")).filter("df > 1").join(totals, "field")
-    often = often.select("field", "gram", F.round(F.log2(1 + F.col("forms") / F.col("df")), 3).alias("weight"))
-    weighed = salted_join(each, often, ["field", "gram"], "id")
-    gram = F.struct("weight", "gram")
-    own = weighed.groupBy("field", "id").agg(F.sort_array(F.collect_list(gram), asc=False).alias("grams"), F.sum("weight").alias("size"))
+    weight = F.round(F.log2(1 + F.col("forms") / F.col("df")) * 1000).cast("bigint")
+    code = F.shiftleft(F.shiftright(F.xxhash64("gram"), WEIGHT_BITS), WEIGHT_BITS).bitwiseOR(weight)
+    weighed = salted_join(each, often.select("field", "gram", weight.alias("weight"), code.alias("gram_code")), ["field", "gram"], "id")
+    heaviest = F.sort_array(F.collect_list(F.struct("weight", "gram_code")), asc=False)
+    own = weighed.groupBy("field", "id").agg(F.transform(heaviest, lambda g: g["gram_code"]).alias("grams"), F.sum("weight").alias("size"))
     own = staged(own, "name-weights")
+    weighing = lambda grams: F.aggregate(grams, F.lit(0).cast("bigint"), lambda s, g: s + g.bitwiseAND(F.lit((1 << WEIGHT_BITS) - 1)))
     parts = int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    running = F.aggregate(F.slice("grams", 1, F.col("at")), F.lit(0.0), lambda s, g: s + g["weight"])
     probe = own.select("field", F.col("id").alias("a"), F.col("size").alias("size_a"), "grams", F.explode(F.sequence(F.lit(0), F.size("grams") - 1)).alias("at"))
-    probe = probe.filter(running <= F.col("size_a") * (1 - UNPROBED)).select("field", "a", "size_a", F.get("grams", F.col("at")).alias("g")).select("field", "a", "size_a", "g.gram", "g.weight")
-    index = own.select("field", F.col("id").alias("b"), F.col("size").alias("size_b"), F.explode("grams").alias("g")).select("field", "b", "size_b", F.col("g.gram").alias("gram"))
+    probe = probe.filter(weighing(F.slice("grams", 1, F.col("at"))) <= F.col("size_a") * (1 - UNPROBED)).select("field", "a", "size_a", F.get("grams", F.col("at")).alias("gram"))
+    index = own.select("field", F.col("id").alias("b"), F.col("size").alias("size_b"), F.explode("grams").alias("gram"))
     lighter = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
-    pairs = probe.repartition(parts, "field", "gram").join(index, ["field", "gram"]).filter(lighter).groupBy("field", "a", "b", "size_a").agg(F.sum("weight").alias("found"))
-    pairs = pairs.filter(F.col("found") >= F.col("size_a") * (LEAST_SHARED - UNPROBED) - 1e-6).select("field", "a", "b", "size_a")
+    pairs = probe.repartition(parts, "field", "gram").join(index, ["field", "gram"]).filter(lighter).groupBy("field", "a", "b", "size_a").agg(F.sum(F.col("gram").bitwiseAND(F.lit((1 << WEIGHT_BITS) - 1))).alias("found"))
+    pairs = pairs.filter(F.col("found") >= F.col("size_a") * (LEAST_SHARED - UNPROBED) - 1).select("field", "a", "b", "size_a")
     sides = [own.select(F.col("id").alias(x), F.col("grams").alias(f"grams_{x}")) for x in "ab"]
-    shared = F.aggregate(F.array_intersect("grams_a", "grams_b"), F.lit(0.0), lambda s, g: s + g["weight"])
+    shared = weighing(F.array_intersect("grams_a", "grams_b"))
     return pairs.join(sides[0], "a").join(sides[1], "b").filter(shared >= F.col("size_a") * LEAST_SHARED).select("field", "a", "b")
 
 
